@@ -23,7 +23,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 def catalyst_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate, an upper bound taken from file sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def small_side(df: DataFrame, row_bytes: int = 128, limit: int = BROADCAST_BYTES) -> DataFrame:
