@@ -29,12 +29,15 @@ from shipflux.operators import (
 )
 from shipflux.plans import jobs, points, views
 from shipflux.plans import register as register_plan
+from shipflux.session import work_folder
 from shipflux.sources.tables import positions_between
 from shipflux.streaming import scd
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+_lookups: dict[tuple[str, str], points.Lookups] = {}
+
 # Fixed "today" and date range of the checks.
 TODAY = "2024-06-01"
 FIRST, LAST = "1997-03-01", "1999-11-30"
@@ -155,9 +158,17 @@ def fact_inputs(spark: SparkSession, sf_dir: str) -> points.FactInputs:
     )
 
 
+def lookups(spark: SparkSession, sf_dir: str) -> points.Lookups:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lookups:
+        built = points.build_lookups(fact_inputs(spark, sf_dir))
+        _lookups[key] = points.store_lookups(built, work_folder(spark, "lookups"))
+    return _lookups[key]
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.lit(STAMP).cast("timestamp")
-    return points.emission_facts(positions(spark, sf_dir), fact_inputs(spark, sf_dir), stamp=stamp)
+    return points.emission_facts(positions(spark, sf_dir), lookups(spark, sf_dir), stamp=stamp)
 
 
 def report_inputs(spark: SparkSession, sf_dir: str) -> jobs.ReportInputs:
@@ -529,7 +540,7 @@ def cell_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kring_nearest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = areas.with_parent_cells(positions(spark, sf_dir))
-    joined = areas.join_shore_power(rows, given(spark, sf_dir, "installations"))
+    joined = areas.join_shore_power(rows, areas.nearest_shore_power(given(spark, sf_dir, "installations")))
     return joined.select(
         "id", moment("date_time_utc"), "shore_power_id", steady("shore_power_usage_percentage"),
         "shore_power_hex_kring_distance_9_1",
@@ -538,7 +549,7 @@ def kring_nearest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def area_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = points.locate(positions(spark, sf_dir), fact_inputs(spark, sf_dir))
+    rows = points.locate(positions(spark, sf_dir), lookups(spark, sf_dir))
     return rows.select(
         "id", moment("date_time_utc"), "dist_to_power", "close_to_power", "eca", "in_management_planning_area",
         "in_norwegian_continental_shelf",
@@ -546,7 +557,7 @@ def area_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return points.enrich(positions(spark, sf_dir), fact_inputs(spark, sf_dir))
+    return points.enrich(positions(spark, sf_dir), lookups(spark, sf_dir))
 
 
 @query
@@ -560,7 +571,7 @@ def port_electric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def powered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions with vessel attributes but without areas: what the energy operators need."""
     return energy.with_energy(
-        points.attach_vessels(one_per_time(spark, sf_dir), eligible(spark, sf_dir), values_of(spark, sf_dir))
+        points.attach_vessels(one_per_time(spark, sf_dir), lookups(spark, sf_dir).factors)
     )
 
 

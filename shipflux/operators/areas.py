@@ -111,9 +111,9 @@ def nearest_shore_power(installations: DataFrame) -> DataFrame:
     )
 
 
-def join_shore_power(points: DataFrame, installations: DataFrame) -> DataFrame:
-    """Add the nearest installation that was in use in the year of the position."""
-    lookup = small_side(nearest_shore_power(installations))
+def join_shore_power(points: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Add the nearest installation (see `nearest_shore_power`) in use in the year of the position."""
+    lookup = small_side(nearest)
     year = F.year(points["date_time_utc"])
     condition = (
         (points["hex_9"] == lookup["_ring_cell"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux.functions.cleaning import clear_null_words, decimal_comma, spaced_int
-from shipflux.functions.keyed import keep_first, small_side
+from shipflux.functions.keyed import keep_first
 from shipflux.operators.register import primary_identities
 
 
@@ -29,7 +29,7 @@ def clean_battery(bronze: DataFrame) -> DataFrame:
 def battery_periods(silver: DataFrame, identities: DataFrame) -> DataFrame:
     """Battery periods by vessel, one per start date."""
     known = primary_identities(identities).select("vessel_id", "imo", "mmsi")
-    joined = known.join(small_side(silver), ["imo", "mmsi"], "inner").select(
+    joined = known.join(silver, ["imo", "mmsi"], "inner").select(
         "vessel_id", "mmsi", "imo", "degree_of_electrification", "battery_pack_kwh", "start_date", "end_date"
     )
     order = _order("mmsi", "imo", "end_date", "degree_of_electrification", "battery_pack_kwh")
@@ -53,8 +53,8 @@ def vessel_port_usage(silver: DataFrame, identities: DataFrame, municipalities:
     """Shore-power usage by vessel and municipality number, one per start date."""
     known = primary_identities(identities).select("vessel_id", "imo", "mmsi")
     joined = (
-        known.join(small_side(silver), ["imo", "mmsi"], "inner")
-        .join(small_side(municipalities), "municipality_name", "inner")
+        known.join(silver, ["imo", "mmsi"], "inner")
+        .join(municipalities, "municipality_name", "inner")
         .select(
             "vessel_id", "mmsi", "imo", "municipality_no", "municipality_name",
             "usage_percentage", "start_date", "end_date",
@@ -78,8 +78,8 @@ def type_port_usage(silver: DataFrame, vessel_types: DataFrame, municipalities:
     known_types = vessel_types.select("vessel_type").distinct()
     joined = (
         silver.filter(F.col("start_date").isNotNull())
-        .join(small_side(municipalities), "municipality_name", "inner")
-        .join(small_side(known_types), "vessel_type", "inner")
+        .join(municipalities, "municipality_name", "inner")
+        .join(known_types, "vessel_type", "inner")
         .select(
             "vessel_type", "municipality_no", "municipality_name",
             "usage_percentage", "start_date", "end_date",
@@ -91,7 +91,7 @@ def type_port_usage(silver: DataFrame, vessel_types: DataFrame, municipalities:
 
 def unmatched(rows: DataFrame, known: DataFrame, name: str) -> DataFrame:
     """Distinct names that the lookup table does not know, for review."""
-    lookup = small_side(known.select(name).distinct())
+    lookup = known.select(name).distinct()
     return rows.select(name).distinct().join(lookup, name, "left_anti")
 
 

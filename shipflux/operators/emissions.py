@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux.config import DIESELS, ENGINES, LNG, POLLUTANTS
-from shipflux.functions.rules import first_match
+from shipflux.functions.rules import case, literal
 from shipflux.operators.factors import factor, on_line
 from shipflux.operators.fuel import sum_known
 from shipflux.operators.parameters import (
@@ -69,17 +69,14 @@ def engine_tonnes(engine: str) -> dict[str, Column]:
 
 def low_load_bin() -> Column:
     """Number of the left-open load bin, 0 outside all of them."""
-    load = F.col("main_engine_load_factor")
-    bins = zip(LOW_LOAD_EDGES, LOW_LOAD_EDGES[1:])
-    inside = (load > LOW_LOAD_EDGES[0]) & (load <= LOW_LOAD_EDGES[-1])
-    number = first_match((load <= high, F.lit(number)) for number, (_, high) in enumerate(bins, start=1))
-    return F.when(inside, number).otherwise(F.lit(0))
+    bins = [(f"main_engine_load_factor <= {literal(high)}", str(n)) for n, high in enumerate(LOW_LOAD_EDGES)]
+    return F.expr(case(bins, "0"))
 
 
 def low_load_multiplier(values: Parameters, pollutant: str) -> Column:
-    """Multiplier of the bin; the array is constant, so it is built once per task."""
+    """Multiplier of the bin, from an array that Catalyst folds to a constant."""
     steps = [values[f"low_load_{pollutant}_main_engine_{span}"] for span in low_load_bin_names()]
-    return F.array(F.lit(1.0), *steps)[F.col("low_load_bin")]
+    return F.expr(f"array(1D, {', '.join(steps)})[low_load_bin]")
 
 
 def with_engine_emissions(points: DataFrame, values: Parameters) -> DataFrame:
@@ -98,7 +95,7 @@ def with_engine_emissions(points: DataFrame, values: Parameters) -> DataFrame:
         column: low_load_multiplier(values, name) * F.col(column) for name, column in names.items()
     }
     return plain.withColumns(
-        {"pm2_5_tonnes": F.col("pm10_main_engine_tonnes") * values["pm_2_5"], **multiplied}
+        {"pm2_5_tonnes": F.col("pm10_main_engine_tonnes") * values.column("pm_2_5"), **multiplied}
     )
 
 
@@ -110,5 +107,5 @@ def with_totals(points: DataFrame, values: Parameters) -> DataFrame:
             for pollutant in POLLUTANTS
         }
     )
-    warming = [F.col(f"{gas}_tonnes") * values[f"co2e_gwp100_{gas}"] for gas in ("co2", "ch4", "n2o")]
+    warming = [F.col(f"{gas}_tonnes") * values.column(f"co2e_gwp100_{gas}") for gas in ("co2", "ch4", "n2o")]
     return summed.withColumn("co2e_tonnes", warming[0] + warming[1] + warming[2])

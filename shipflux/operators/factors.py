@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from shipflux import config
 from shipflux.config import DIESELS, DISTILLATE, ELECTRIC, ENGINES, LNG, METHANOL, RESIDUAL
-from shipflux.functions.rules import Rule, decide, first_match
-from shipflux.operators.fuel import baseline_columns
+from shipflux.functions.rules import Rule, case, decide, literal, matches
+from shipflux.operators.fuel import with_baselines
 from shipflux.operators.parameters import LNG_ENGINE_SLUGS, SLUG, Parameters
 
 GLOBAL, ECA = "global", "eca"
@@ -97,95 +97,98 @@ METHANOL_PARTICLE_SHARE = 0.1
 PARTICLE_LNG_ENGINES = {"LNG-Otto SS": "otto_ss", "LNG-Otto MS": "otto_ms", "LBSI": "lbsi", "GT": "gt", "ST": "st"}
 
 
-def fuel_in(area: str) -> Column:
-    """Residual fuel is not burnt in an ECA; distillate replaces it."""
-    fuel = F.col("main_engine_fueltype")
-    return F.when(fuel == RESIDUAL, F.lit(DISTILLATE)).otherwise(fuel) if area == ECA else fuel
+# The fuel a factor is looked up for. Residual fuel is not burnt in an ECA; distillate
+# replaces it. Some tables make the switch for diesel engines only.
+PLAIN = {"engine": "main_engine_enginetype", "fuel": "main_engine_fueltype"}
+SWITCHED = {GLOBAL: PLAIN, ECA: {**PLAIN, "fuel": "_eca_fuel"}}
+DIESEL_SWITCHED = {GLOBAL: PLAIN, ECA: {**PLAIN, "fuel": "_eca_diesel_fuel"}}
+IS_DIESEL = matches({"engine": DIESELS}, PLAIN)
 
 
-def diesel_fuel_in(area: str) -> Column:
-    """The same switch for diesel engines only; turbines keep their own value."""
-    fuel = F.col("main_engine_fueltype")
-    diesel = F.col("main_engine_enginetype").isin(*DIESELS)
-    return F.when(diesel, fuel_in(area)).otherwise(fuel) if area == ECA else fuel
+def with_eca_fuels(vessels: DataFrame) -> DataFrame:
+    residual = f"main_engine_fueltype = '{RESIDUAL}'"
+    return vessels.withColumns(
+        {
+            "_eca_fuel": F.expr(case([(residual, literal(DISTILLATE))], "main_engine_fueltype")),
+            "_eca_diesel_fuel": F.expr(
+                case([(f"{residual} AND {IS_DIESEL}", literal(DISTILLATE))], "main_engine_fueltype")
+            ),
+        }
+    )
 
 
-def nox_main(values: Parameters, area: str) -> Column:
-    engine, fuel = F.col("main_engine_enginetype"), F.col("main_engine_fueltype")
-    tier, rpm = F.col("tier_group_nox"), F.col("main_engine_rpm")
-    columns = {"engine": engine, "fuel": fuel}
+def nox_main(values: Parameters, area: str) -> str:
+    electric = (f"main_engine_fueltype = '{ELECTRIC}'", "0D")
 
-    def by_tier(level: int, fallback: Column | None = None) -> Column:
+    def by_tier(level: int, fallback: str | None = None) -> str:
         name = f"nox_main_engine_tier_{level}"
-        electric = [(fuel == ELECTRIC, F.lit(0.0))] if level == 3 else []
-        speed = []
+        cases = [("main_engine_enginetype = 'LNG-Diesel'", values[f"{name}_lng_diesel"])]
+        if level == 3:
+            cases.append(electric)
         if level in NOX_CURVES:
             coefficient, exponent = NOX_CURVES[level]
-            speed = [
-                ((rpm > 0) & (rpm < 130), values[f"{name}_rpm_1_129"]),
-                ((rpm >= 130) & (rpm < 2000), coefficient * F.pow(rpm, F.lit(exponent))),
-                (rpm >= 2000, values[f"{name}_rpm_2000_"]),
+            cases += [
+                ("main_engine_rpm > 0 AND main_engine_rpm < 130", values[f"{name}_rpm_1_129"]),
+                ("main_engine_rpm >= 130 AND main_engine_rpm < 2000",
+                 f"{literal(coefficient)} * power(main_engine_rpm, {literal(exponent)})"),
+                ("main_engine_rpm >= 2000", values[f"{name}_rpm_2000_"]),
             ]
-        kinds = [(engine == d, values[f"{name}_{d.lower()}"]) for d in DIESELS]
-        return first_match([(engine == "LNG-Diesel", values[f"{name}_lng_diesel"]), *electric, *speed, *kinds], fallback)
+        cases += [(f"main_engine_enginetype = '{d}'", values[f"{name}_{d.lower()}"]) for d in DIESELS]
+        return case(cases, fallback)
 
     fixed = [*turbines("nox", LNG), *lng_engines("nox", ("LNG-Otto SS", "LNG-Otto MS", "LBSI"))]
-    everywhere = decide(
-        fixed,
-        columns,
-        values.__getitem__,
-        first_match(
-            [
-                (fuel == ELECTRIC, F.lit(0.0)),
-                (tier == 0, by_tier(0)),
-                (tier == 1, by_tier(1)),
-                (tier.isin(2, 3), by_tier(2)),
-            ]
-        ),
-    )
-    return everywhere if area == GLOBAL else F.when(tier == 3, by_tier(3, everywhere)).otherwise(everywhere)
+    tiers = [
+        electric,
+        ("tier_group_nox = 0", by_tier(0)),
+        ("tier_group_nox = 1", by_tier(1)),
+        ("tier_group_nox IN (2, 3)", by_tier(2)),
+    ]
+    everywhere = decide(fixed, PLAIN, values.__getitem__, case(tiers))
+    return everywhere if area == GLOBAL else case([("tier_group_nox = 3", by_tier(3, everywhere))], everywhere)
 
 
-def sulphur_fraction(values: Parameters, area: str) -> Column:
+def sulphur_fraction(values: Parameters, area: str) -> str:
     if area == ECA:
         return values["fuel_sulfur_fraction_eca"]
     rules = [Rule({"fuel": f}, f"fuel_sulfur_fraction_global_{SLUG[f]}") for f in (DISTILLATE, RESIDUAL)]
-    columns = {"fuel": F.col("main_engine_fueltype")}
-    return decide(rules, columns, values.__getitem__, values["fuel_sulfur_fraction_global"])
+    return decide(rules, PLAIN, values.__getitem__, values["fuel_sulfur_fraction_global"])
 
 
-def sox(values: Parameters, engine: str, area: str) -> Column:
-    fuel = F.col("main_engine_fueltype")
-    return first_match(
+def sox(values: Parameters, engine: str, area: str) -> str:
+    oil = f"{literal(SULPHUR_TO_SOX)} * {sulphur_fraction(values, area)}"
+    return case(
         [
-            (fuel.isin(RESIDUAL, DISTILLATE), SULPHUR_TO_SOX * sulphur_fraction(values, area)),
-            (fuel == LNG, values[f"sox_{engine}_lng"]),
-            (fuel == METHANOL, values[f"sox_{engine}_methanol"]),
+            (matches({"fuel": (RESIDUAL, DISTILLATE)}, PLAIN), oil),
+            (matches({"fuel": LNG}, PLAIN), values[f"sox_{engine}_lng"]),
+            (matches({"fuel": METHANOL}, PLAIN), values[f"sox_{engine}_methanol"]),
         ]
     )
 
 
-def particle_line(values: Parameters, engine: str, area: str) -> tuple[Column, Column]:
+def particle_line(values: Parameters, engine: str, area: str) -> tuple[str, str]:
     """PM10 factor as base + slope * g/kWh; the slope is NULL where the factor is a constant."""
-    fuel, kind = F.col("main_engine_fueltype"), F.col("main_engine_enginetype")
     sulphur = sulphur_fraction(values, area)
 
-    def line(name: str, share: float = 1.0) -> tuple[Column, Column]:
+    def line(name: str, share: float = 1.0) -> tuple[str, str]:
         base, offset = PARTICLE_LINES[name]
-        slope = (sulphur - offset) * (PARTICLES_PER_SULPHUR * share)
-        return F.when(slope.isNotNull(), F.lit(base * share)), slope
+        slope = f"({sulphur} - {literal(offset)}) * {literal(PARTICLES_PER_SULPHUR * share)}"
+        return case([(f"({slope}) IS NOT NULL", literal(base * share))]), slope
 
     lines = {
         RESIDUAL: line(RESIDUAL),
         DISTILLATE: line(DISTILLATE),
         METHANOL: line(RESIDUAL, METHANOL_PARTICLE_SHARE),
     }
-    gas = first_match(
-        ((kind == name, values[f"pm_{engine}_lng_{slug}"]) for name, slug in PARTICLE_LNG_ENGINES.items()),
+    gas = case(
+        (
+            (f"main_engine_enginetype = '{kind}'", values[f"pm_{engine}_lng_{slug}"])
+            for kind, slug in PARTICLE_LNG_ENGINES.items()
+        ),
         values[f"pm_{engine}_lng_otto_ms"],
     )
-    base = first_match([*((fuel == name, parts[0]) for name, parts in lines.items()), (fuel == LNG, gas)])
-    slope = first_match((fuel == name, parts[1]) for name, parts in lines.items())
+    is_fuel = {name: f"main_engine_fueltype = '{name}'" for name in (*lines, LNG)}
+    base = case([*((is_fuel[name], parts[0]) for name, parts in lines.items()), (is_fuel[LNG], gas)])
+    slope = case((is_fuel[name], parts[1]) for name, parts in lines.items())
     return base, slope
 
 
@@ -193,65 +196,58 @@ def on_line(base: Column, slope: Column, sfc: Column) -> Column:
     return F.when(slope.isNull(), base).otherwise(base + slope * sfc)
 
 
-def soot_curve(area: str) -> tuple[Column, Column]:
+def soot_curve(area: str) -> tuple[str, str]:
     """Coefficient and exponent of the load curve; NULL where a flat factor or none applies.
 
     In an ECA the switch to the distillate curve looks at fuel and stroke only, so
     residual-fuelled turbines take it as well.
     """
-    fuel, stroke = F.col("main_engine_fueltype"), F.col("stroketype")
-    diesel = F.col("main_engine_enginetype").isin(*DIESELS)
-    cases = [
-        (diesel & (fuel == name) & (stroke == strokes), curve) for (name, strokes), curve in SOOT_CURVES.items()
-    ]
+    def burns(fuel: str, strokes: int) -> str:
+        return f"main_engine_fueltype = '{fuel}' AND stroketype = {strokes}"
+
+    cases = [(f"{IS_DIESEL} AND {burns(*key)}", curve) for key, curve in SOOT_CURVES.items()]
     if area == ECA:
-        switched = [
-            ((fuel == RESIDUAL) & (stroke == strokes), SOOT_CURVES[DISTILLATE, strokes]) for strokes in (2, 4)
-        ]
-        cases = switched + cases
-    return tuple(first_match((test, F.lit(curve[part])) for test, curve in cases) for part in (0, 1))
+        cases = [(burns(RESIDUAL, strokes), SOOT_CURVES[DISTILLATE, strokes]) for strokes in (2, 4)] + cases
+    coefficient, exponent = (case((test, literal(curve[part])) for test, curve in cases) for part in (0, 1))
+    return coefficient, exponent
 
 
-def soot_flat(values: Parameters) -> Column:
-    columns = {"engine": F.col("main_engine_enginetype"), "fuel": F.col("main_engine_fueltype")}
-    diesel = F.col("main_engine_enginetype").isin(*DIESELS)
-    return F.when(diesel, F.lit(None)).otherwise(decide(SOOT_FLAT_RULES, columns, values.__getitem__))
+def soot_flat(values: Parameters) -> str:
+    return case([(IS_DIESEL, "NULL")], decide(SOOT_FLAT_RULES, PLAIN, values.__getitem__))
 
 
 def area_factors(values: Parameters, area: str) -> dict[str, Column]:
-    """All factors of one area by name."""
-    engine = F.col("main_engine_enginetype")
-    plain = {"engine": engine, "fuel": F.col("main_engine_fueltype")}
-    switched = {"engine": engine, "fuel": fuel_in(area)}
-    diesel_switched = {"engine": engine, "fuel": diesel_fuel_in(area)}
-
-    def pick(rules: list[Rule], columns: dict[str, Column], otherwise: Column | None = None) -> Column:
+    """All factors of one area by name, for vessels with baselines and ECA fuels."""
+    def pick(rules: list[Rule], columns: dict[str, str], otherwise: str | None = None) -> str:
         return decide(rules, columns, values.__getitem__, otherwise)
 
     coefficient, exponent = soot_curve(area)
     base, slope = particle_line(values, "main_engine", area)
-    factors = {
-        "cf": pick(CARBON_RULES, switched, values["cf_other"]),
+    texts = {
+        "cf": pick(CARBON_RULES, SWITCHED[area], values["cf_other"]),
         "fuel_sulfur_fraction": sulphur_fraction(values, area),
         "bc_main_engine_coefficient": coefficient,
         "bc_main_engine_exponent": exponent,
         "bc_main_engine_flat": soot_flat(values),
-        "ch4_main_engine": pick(METHANE_MAIN_RULES, plain),
-        "co_main_engine": pick(combustion("co"), diesel_switched),
-        "n2o_main_engine": pick(combustion("n2o"), diesel_switched),
-        "nmvoc_main_engine": pick(VOC_MAIN_RULES, plain),
+        "ch4_main_engine": pick(METHANE_MAIN_RULES, PLAIN),
+        "co_main_engine": pick(combustion("co"), DIESEL_SWITCHED[area]),
+        "n2o_main_engine": pick(combustion("n2o"), DIESEL_SWITCHED[area]),
+        "nmvoc_main_engine": pick(VOC_MAIN_RULES, PLAIN),
         "nox_main_engine": nox_main(values, area),
         "pm_main_engine_base": base,
         "pm_main_engine_slope": slope,
     }
     for name in ("aux", "boiler"):
         for pollutant in ("bc", "co", "n2o", "nox"):
-            factors[f"{pollutant}_{name}"] = pick(by_fuel(pollutant, name), switched)
+            texts[f"{pollutant}_{name}"] = pick(by_fuel(pollutant, name), SWITCHED[area])
         for pollutant in ("ch4", "nmvoc"):
-            factors[f"{pollutant}_{name}"] = pick(by_fuel(pollutant, name), plain)
-        factors[f"pm_{name}"] = on_line(*particle_line(values, name, area), F.col(f"sfc_{name}"))
+            texts[f"{pollutant}_{name}"] = pick(by_fuel(pollutant, name), PLAIN)
     for name in ENGINES:
-        factors[f"sox_{name}"] = sox(values, name, area)
+        texts[f"sox_{name}"] = sox(values, name, area)
+    factors = {name: F.expr(text) for name, text in texts.items()}
+    for name in ("aux", "boiler"):
+        line = (F.expr(text) for text in particle_line(values, name, area))
+        factors[f"pm_{name}"] = on_line(*line, F.col(f"sfc_{name}"))
     return factors
 
 
@@ -282,18 +278,18 @@ PERIOD_COLUMNS = (
 
 def with_named_factors(vessels: DataFrame, values: Parameters) -> DataFrame:
     """Consumption baselines and every factor as a column of its own, `{factor}_{area}`."""
-    based = vessels.withColumns(baseline_columns(values))
+    based = with_eca_fuels(with_baselines(vessels, values))
     named = {
         f"{name}_{area}": column.cast("double")
         for area in AREAS
         for name, column in area_factors(values, area).items()
     }
-    return based.withColumns(named)
+    return based.withColumns(named).drop("_eca_fuel", "_eca_diesel_fuel")
 
 
 def vessel_factors(vessels: DataFrame, values: Parameters) -> DataFrame:
     """The narrow per-period table that positions are joined to."""
-    based = vessels.withColumns(baseline_columns(values))
+    based = with_eca_fuels(with_baselines(vessels, values))
     arrays = {}
     for area in AREAS:
         by_name = area_factors(values, area)

@@ -62,28 +62,30 @@ EQUIVALENT_RULES = [
 ]
 
 
-def engine_columns() -> dict[str, Column]:
-    """What the fuel rules look at; years between 2000 and 2001 belong to no LNG era."""
+def build_eras() -> dict[str, Column]:
+    """Build-year bands of the fuel rules; years between 2000 and 2001 belong to no LNG era."""
     year = F.col("year_of_build")
     first, second, third = THREE_YEAR_BANDS
     return {
-        "engine": F.col("main_engine_enginetype"),
-        "fuel": F.col("main_engine_fueltype"),
-        "age": F.when(year <= 1983, first).when(year <= 2000, second).when(year > 2000, third),
-        "era": F.when(year <= 2000, OLD).when(year >= 2001, NEW),
+        "_age": F.when(year <= 1983, first).when(year <= 2000, second).when(year > 2000, third),
+        "_era": F.when(year <= 2000, OLD).when(year >= 2001, NEW),
     }
 
 
-def baseline_columns(values: Parameters) -> dict[str, Column]:
-    """g/kWh of each engine and the pilot fuel, constant per vessel period."""
-    columns = engine_columns()
-    return {
-        "sfc_main_engine_baseline": decide(MAIN_RULES, columns, values.__getitem__),
-        "sfc_pilot_fuel": decide(PILOT_RULES, columns, values.__getitem__, F.lit(0.0)),
-        "sfc_aux": decide(AUX_RULES, columns, values.__getitem__),
-        "sfc_boiler": decide(BOILER_RULES, columns, values.__getitem__),
-        "mdo_equivalent": decide(EQUIVALENT_RULES, columns, values.__getitem__),
+FUEL_COLUMNS = {"engine": "main_engine_enginetype", "fuel": "main_engine_fueltype", "age": "_age", "era": "_era"}
+
+
+def with_baselines(vessels: DataFrame, values: Parameters) -> DataFrame:
+    """g/kWh of each engine, pilot fuel and diesel equivalent, constant per vessel period."""
+    texts = {
+        "sfc_main_engine_baseline": decide(MAIN_RULES, FUEL_COLUMNS, values.__getitem__),
+        "sfc_pilot_fuel": decide(PILOT_RULES, FUEL_COLUMNS, values.__getitem__, "0D"),
+        "sfc_aux": decide(AUX_RULES, FUEL_COLUMNS, values.__getitem__),
+        "sfc_boiler": decide(BOILER_RULES, FUEL_COLUMNS, values.__getitem__),
+        "mdo_equivalent": decide(EQUIVALENT_RULES, FUEL_COLUMNS, values.__getitem__),
     }
+    aged = vessels.withColumns(build_eras())
+    return aged.withColumns({name: F.expr(text) for name, text in texts.items()}).drop("_age", "_era")
 
 
 def main_engine_sfc() -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux.functions.keyed import keep_first
+from shipflux.functions.rules import literal
 
 # Parameter names are built from these parts.
 SLUG = {"Residual Fuel": "residual_fuel", "Distillate Fuel": "distillate_fuel", "LNG": "lng"}
@@ -108,8 +109,8 @@ def variables_as_of(variables: DataFrame, as_of: str) -> DataFrame:
     return keep_first(valid, ["variable"], order)
 
 
-class Parameters(Mapping[str, Column]):
-    """Parameter values as literals, so Catalyst folds them into the generated code."""
+class Parameters(Mapping[str, str]):
+    """Parameter values as SQL literals, so Catalyst folds them into the generated code."""
 
     def __init__(self, values: Mapping[str, float | None]):
         missing = [name for name in required_names() if name not in values]
@@ -123,8 +124,12 @@ class Parameters(Mapping[str, Column]):
         wanted = current.filter(F.col("variable").isin(required_names())).select("variable", "value")
         return cls({row["variable"]: row["value"] for row in wanted.collect()})
 
-    def __getitem__(self, name: str) -> Column:
-        return F.lit(self._values[name]).cast("double")
+    def __getitem__(self, name: str) -> str:
+        value = self._values[name]
+        return "CAST(NULL AS DOUBLE)" if value is None else literal(float(value))
+
+    def column(self, name: str) -> Column:
+        return F.expr(self[name])
 
     def __iter__(self):
         return iter(self._values)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipflux import config
 from shipflux.config import DISTILLATE, ELECTRIC, LNG, METHANOL, RESIDUAL
-from shipflux.functions.keyed import keep_first, small_side
-from shipflux.functions.rules import Rule, bands, decide, first_match
+from shipflux.functions.rules import Rule, bands, case, decide, literal
 from shipflux.operators.size_bins import POWER_COLUMNS, match_size_bins
 
 # Propulsion text of the engine register and its code.
@@ -96,45 +95,43 @@ ENGINE_RULES = [
 ]
 
 
-def register_columns() -> dict[str, Column]:
-    return {
-        "code1": F.col("fp_fueltype1code"),
-        "code2": F.col("fp_fueltype2code"),
-        "drive": F.col("fp_propulsiontypecode"),
-        "imo_type": F.col("vessel_type_imo_ghg"),
-        "register_type": F.col("fp_me_enginetype"),
-        "fuel": F.col("main_engine_fueltype"),
-    }
+REGISTER_COLUMNS = {
+    "code1": "fp_fueltype1code",
+    "code2": "fp_fueltype2code",
+    "drive": "fp_propulsiontypecode",
+    "imo_type": "vessel_type_imo_ghg",
+    "register_type": "fp_me_enginetype",
+    "fuel": "main_engine_fueltype",
+}
+ENGINE_BY_RPM = case(
+    [("main_engine_rpm > 300 AND main_engine_rpm <= 900", "'MSD'"), ("main_engine_rpm > 900", "'HSD'")], "'SSD'"
+)
+# Kinds of gas engines, first match wins.
+GAS_ENGINE = case(
+    [
+        ("lower(engine_model) LIKE '%df%' OR lower(engine_model) LIKE '%x%' OR lower(engine_model) LIKE '%me-ga%'",
+         "'LNG-Otto SS'"),
+        ("stroketype = 4 AND main_engine_rpm > 300", "'LNG-Otto MS'"),
+        ("lower(engine_model) LIKE '%me%'", "'LNG-Diesel'"),
+        ("fp_fueltype1code IN ('LG', 'GB', 'LP') AND fp_fueltype2code NOT IN ('DF', 'RF')", "'LBSI'"),
+        (f"engine_builder IN ({', '.join(literal(name) for name in LEAN_BURN_BUILDERS)})", "'LBSI'"),
+    ],
+    "'LNG-Otto MS'",
+)
 
 
 def propulsion_code() -> Column:
-    text = F.col("fp_propulsiontype")
-    cases = ((text == name, F.lit(code)) for name, code in PROPULSION_CODES.items())
-    return first_match(cases, F.lit(config.UNKNOWN_FUEL_CODE))
+    codes = ((f"fp_propulsiontype = {literal(name)}", literal(code)) for name, code in PROPULSION_CODES.items())
+    return F.expr(case(codes, literal(config.UNKNOWN_FUEL_CODE)))
 
 
 def fuel_type() -> Column:
-    return decide(FUEL_RULES, register_columns())
+    return F.expr(decide(FUEL_RULES, REGISTER_COLUMNS))
 
 
 def engine_type() -> Column:
-    rpm = F.col("main_engine_rpm")
-    by_rpm = F.when((rpm > 300) & (rpm <= 900), "MSD").when(rpm > 900, "HSD").otherwise("SSD")
-
-    model = F.lower(F.col("engine_model"))
-    code1, code2 = F.col("fp_fueltype1code"), F.col("fp_fueltype2code")
-    lng_kind = first_match(
-        [
-            (model.contains("df") | model.contains("x") | model.contains("me-ga"), "LNG-Otto SS"),
-            ((F.col("stroketype") == 4) & (rpm > 300), "LNG-Otto MS"),
-            (model.contains("me"), "LNG-Diesel"),
-            (code1.isin(list(GAS_CODES)) & ~code2.isin("DF", "RF"), "LBSI"),
-            (F.col("engine_builder").isin(list(LEAN_BURN_BUILDERS)), "LBSI"),
-        ],
-        "LNG-Otto MS",
-    )
-    refine = {BY_RPM: by_rpm, LNG: lng_kind}
-    return decide(ENGINE_RULES, register_columns(), lambda kind: refine.get(kind, F.lit(kind)))
+    refined = {BY_RPM: ENGINE_BY_RPM, LNG: GAS_ENGINE}
+    return F.expr(decide(ENGINE_RULES, REGISTER_COLUMNS, lambda kind: refined.get(kind, literal(kind))))
 
 
 # Band edges and labels.
@@ -164,15 +161,15 @@ NOX_TIERS = ((1900, 2000, 2011, 2021), (0, 1, 2, 3))
 
 
 def size_and_age_bands() -> dict[str, Column]:
-    year = F.col("year_of_build")
-    return {
-        "length_group": bands(F.col("length_overall"), *LENGTH_GROUPS, config.UNKNOWN, above_first=True),
-        "tier_group": bands(year, *TIERS, 0),
-        "tier_group_nox": bands(year, *NOX_TIERS, config.UNKNOWN_NUMBER),
-        "year_group": bands(year, *YEAR_GROUPS, config.UNKNOWN, above_first=True),
-        "gt_group": bands(F.col("gt"), *GT_GROUPS, config.UNKNOWN, above_first=True),
-        "dwt_group": bands(F.col("dwt"), *DWT_GROUPS, config.UNKNOWN, above_first=True),
+    texts = {
+        "length_group": bands("length_overall", *LENGTH_GROUPS, config.UNKNOWN, above_first=True),
+        "tier_group": bands("year_of_build", *TIERS, 0),
+        "tier_group_nox": bands("year_of_build", *NOX_TIERS, config.UNKNOWN_NUMBER),
+        "year_group": bands("year_of_build", *YEAR_GROUPS, config.UNKNOWN, above_first=True),
+        "gt_group": bands("gt", *GT_GROUPS, config.UNKNOWN, above_first=True),
+        "dwt_group": bands("dwt", *DWT_GROUPS, config.UNKNOWN, above_first=True),
     }
+    return {name: F.expr(text) for name, text in texts.items()}
 
 
 def first_engines(main_engines: DataFrame) -> DataFrame:
@@ -222,8 +219,8 @@ def merge_registers(
     merged = (
         ships.join(known, "vessel_id", "left_semi")
         .join(engines, F.col("fp_imo") == F.col("fairplay_id"), "left")
-        .join(small_side(battery), "vessel_id", "left")
-        .join(small_side(classes), "statcode5", "left")
+        .join(battery, "vessel_id", "left")
+        .join(classes, "statcode5", "left")
     )
 
     def text(name: str, source: str | None = None, default: str = config.UNKNOWN) -> Column:
@@ -269,34 +266,38 @@ def merge_registers(
     )
 
 
-def impute_fuel(vessels: DataFrame) -> DataFrame:
-    """Fill unknown fuels with the most frequent one of the vessel's peers.
+def peer_fuels(vessels: DataFrame) -> DataFrame:
+    """Most frequent fuel by class and size, by size and by class, one row per class and size.
 
-    Peers are tried in the order class and size, size, class; ties go to the
-    alphabetically first fuel. Counts per (class, size, fuel) are at most a few
-    thousand rows, so the three modes come from one small table and no window
-    ever collects a whole class.
+    Counts per (class, size, fuel) are at most a few thousand rows, whatever the
+    number of vessels. The windows run over those, so none ever collects the
+    vessels of a class. Ties go to the alphabetically first fuel.
     """
-    counts = (
-        vessels.filter(F.col("main_engine_fueltype").isNotNull())
-        .groupBy("vessel_class", "gt_group", F.col("main_engine_fueltype").alias("fuel"))
-        .agg(F.count("*").alias("n"))
+    counts = vessels.groupBy("vessel_class", "gt_group", F.col("main_engine_fueltype").alias("fuel")).agg(
+        F.count("*").alias("n")
+    )
+    groups = {"_by_both": ["vessel_class", "gt_group"], "_by_size": ["gt_group"], "_by_class": ["vessel_class"]}
+    totals = counts.withColumns(
+        {f"n{name}": F.sum("n").over(Window.partitionBy(*keys, "fuel")) for name, keys in groups.items()}
+    )
+    unknown_last = F.col("fuel").isNull()
+    modes = {
+        name: F.first("fuel").over(Window.partitionBy(*keys).orderBy(unknown_last, F.desc(f"n{name}"), "fuel"))
+        for name, keys in groups.items()
+    }
+    return totals.withColumns(modes).groupBy("vessel_class", "gt_group").agg(
+        *(F.any_value(name).alias(name) for name in groups)
     )
 
-    def mode_by(keys: list[str], name: str) -> DataFrame:
-        totals = counts.groupBy(*keys, "fuel").agg(F.sum("n").alias("n"))
-        best = keep_first(totals, keys, [F.col("n").desc(), F.col("fuel").asc()])
-        return best.select(*keys, F.col("fuel").alias(name))
 
-    filled = vessels.withColumn("main_engine_fueltype_original", F.col("main_engine_fueltype"))
-    peers = {
-        "_by_both": ["vessel_class", "gt_group"],
-        "_by_size": ["gt_group"],
-        "_by_class": ["vessel_class"],
-    }
-    for name, keys in peers.items():
-        filled = filled.join(small_side(mode_by(keys, name)), keys, "left")
-    return filled.withColumn("main_engine_fueltype", F.coalesce("main_engine_fueltype", *peers)).drop(*peers)
+def impute_fuel(vessels: DataFrame) -> DataFrame:
+    """Fill unknown fuels with the most frequent one of class and size, else size, else class."""
+    peers = peer_fuels(vessels)
+    filled = vessels.withColumn("main_engine_fueltype_original", F.col("main_engine_fueltype")).join(
+        peers, ["vessel_class", "gt_group"], "left"
+    )
+    names = ("_by_both", "_by_size", "_by_class")
+    return filled.withColumn("main_engine_fueltype", F.coalesce("main_engine_fueltype", *names)).drop(*names)
 
 
 def default_electrification() -> Column:
@@ -364,7 +365,7 @@ def row_counts(ships: DataFrame, identities: DataFrame, battery: DataFrame, vess
     expected = (
         ships.filter(F.col("vessel_type_imo_ghg").isNotNull())
         .join(known, "vessel_id", "left_semi")
-        .join(small_side(battery.select("vessel_id")), "vessel_id", "left")
+        .join(battery.select("vessel_id"), "vessel_id", "left")
         .select(F.lit("expected").alias("side"))
     )
     both = expected.unionAll(vessels.select(F.lit("actual").alias("side")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipflux import config
-from shipflux.functions.keyed import keep_first, small_side
+from shipflux.functions.keyed import keep_first
 
 POWER_COLUMNS = tuple(
     f"{engine}_{mode}_kw" for engine in ("aux", "boiler") for mode in config.OPERATING_MODES
@@ -25,7 +25,7 @@ def latest_batch(bronze: DataFrame) -> DataFrame:
 def open_top_bin(bins: DataFrame) -> DataFrame:
     """The bin with the highest lower limit of each vessel type has no upper limit."""
     highest = bins.groupBy("vessel_type").agg(F.max("low_limit").alias("low_limit_max"))
-    return bins.join(small_side(highest), "vessel_type", "inner").withColumn(
+    return bins.join(highest, "vessel_type", "inner").withColumn(
         "high_limit",
         F.when(F.col("low_limit") == F.col("low_limit_max"), F.lit(config.OPEN_HIGH_LIMIT)).otherwise(
             F.col("high_limit")
@@ -72,7 +72,7 @@ def unpivot_sizes(vessels: DataFrame) -> DataFrame:
 def match_size_bins(vessels: DataFrame, bins: DataFrame) -> DataFrame:
     """Power values of the bin each vessel period falls into (lower limit inclusive)."""
     sizes = unpivot_sizes(vessels)
-    table = small_side(unique_bins(bins).withColumnRenamed("unit", "bin_unit"))
+    table = unique_bins(bins).withColumnRenamed("unit", "bin_unit")
     condition = (
         (sizes["vessel_type_imo_ghg"] == table["vessel_type"])
         & (sizes["unit"] == table["bin_unit"])

@@ -24,6 +24,49 @@ class FactInputs(NamedTuple):
     parameters: Parameters
 
 
+class Lookups(NamedTuple):
+    """What positions are joined to, prepared once for all date ranges of a run."""
+
+    factors: DataFrame
+    cells: dict[str, DataFrame]
+    nearest_shore_power: DataFrame
+    vessel_port_usage: DataFrame
+    type_port_usage: DataFrame
+    parameters: Parameters
+
+
+def build_lookups(inputs: FactInputs) -> Lookups:
+    return Lookups(
+        factors.vessel_factors(register.eligible_vessels(inputs.vessels), inputs.parameters),
+        areas.cell_lookups(inputs.layers),
+        areas.nearest_shore_power(inputs.installations),
+        inputs.vessel_port_usage,
+        inputs.type_port_usage,
+        inputs.parameters,
+    )
+
+
+def store_lookups(lookups: Lookups, folder: str) -> Lookups:
+    """Write the lookups and read them back.
+
+    They are then built once, later plans stay small, and the files give the planner
+    the true sizes for its broadcast decisions.
+    """
+    spark = lookups.factors.sparkSession
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return lookups._replace(
+        factors=store(lookups.factors, "factors"),
+        cells={cell: store(df, cell) for cell, df in lookups.cells.items()},
+        nearest_shore_power=store(lookups.nearest_shore_power, "shore_power"),
+        vessel_port_usage=store(lookups.vessel_port_usage, "vessel_port_usage"),
+        type_port_usage=store(lookups.type_port_usage, "type_port_usage"),
+    )
+
+
 POINT_COLUMNS = (
     "id", "vessel_id", "mmsi", "date_time_utc", "hex_14", "sail_id", "geometry_wkt", "speed_over_ground",
     "phase", "sail_time_remaining_seconds", "delta_previous_point_seconds", "distance_previous_point_meters",
@@ -66,25 +109,23 @@ def one_per_time(points: DataFrame) -> DataFrame:
     return keep_first(points, ["mmsi", "date_time_utc"], [F.col(name).asc_nulls_first() for name in order])
 
 
-def attach_vessels(points: DataFrame, vessels: DataFrame, parameters: Parameters) -> DataFrame:
+def attach_vessels(points: DataFrame, vessel_factors: DataFrame) -> DataFrame:
     """Consumption and emission factors of the vessel period a position belongs to."""
-    table = factors.vessel_factors(vessels, parameters).drop("end_date")
-    table = small_side(table.withColumnRenamed("start_date", "period_start"), row_bytes=1024)
-    return points.join(table, ["vessel_id", "period_start"], "inner")
+    table = vessel_factors.drop("end_date").withColumnRenamed("start_date", "period_start")
+    return points.join(small_side(table, row_bytes=1024), ["vessel_id", "period_start"], "inner")
 
 
-def locate(points: DataFrame, inputs: FactInputs) -> DataFrame:
+def locate(points: DataFrame, lookups: Lookups) -> DataFrame:
     """Area layers, shore power and flags of every position."""
-    with_layers = areas.join_cells(areas.with_parent_cells(points), areas.cell_lookups(inputs.layers))
-    return areas.area_flags(areas.join_shore_power(with_layers, inputs.installations))
+    with_layers = areas.join_cells(areas.with_parent_cells(points), lookups.cells)
+    return areas.area_flags(areas.join_shore_power(with_layers, lookups.nearest_shore_power))
 
 
-def enrich(points: DataFrame, inputs: FactInputs) -> DataFrame:
+def enrich(points: DataFrame, lookups: Lookups) -> DataFrame:
     """All joins of the fact job: vessel period, areas, port usage; one shuffle of positions."""
-    vessels = register.eligible_vessels(inputs.vessels)
-    unique = one_per_time(interval_join(points.select(*POINT_COLUMNS), vessels))
-    located = locate(attach_vessels(unique, vessels, inputs.parameters), inputs)
-    return shore_power.join_port_usage(located, inputs.vessel_port_usage, inputs.type_port_usage)
+    unique = one_per_time(interval_join(points.select(*POINT_COLUMNS), lookups.factors))
+    located = locate(attach_vessels(unique, lookups.factors), lookups)
+    return shore_power.join_port_usage(located, lookups.vessel_port_usage, lookups.type_port_usage)
 
 
 def consume(points: DataFrame) -> DataFrame:
@@ -97,10 +138,10 @@ def emit(points: DataFrame, parameters: Parameters) -> DataFrame:
 
 
 def emission_facts(
-    points: DataFrame, inputs: FactInputs, version: str = config.VERSION, stamp: Column | None = None
+    points: DataFrame, lookups: Lookups, version: str = config.VERSION, stamp: Column | None = None
 ) -> DataFrame:
     """One fact row per position, 37 columns."""
-    calculated = emit(consume(enrich(points, inputs)), inputs.parameters)
+    calculated = emit(consume(enrich(points, lookups)), lookups.parameters)
     stamped = calculated.withColumns(
         {
             "bi_processing_time": F.current_timestamp() if stamp is None else stamp,
