@@ -277,8 +277,10 @@ SELECT CAST(o_orderdate AS DATE) AS date_utc,
             ELSE CAST(max(o_orderdate) AS TIMESTAMP) + INTERVAL '2' DAY END AS emission
 FROM {orders} GROUP BY o_orderdate
 """
+# Values grow with the alphabetical place of the name. Their long decimals keep results
+# away from round values, where two engines may round differently.
 SQL["parameter_values"] = (
-    "SELECT variable, CAST(place AS DOUBLE) / 10 AS value FROM (VALUES "
+    "SELECT variable, CAST(place AS DOUBLE) * CAST(0.10137182843 AS DOUBLE) AS value FROM (VALUES "
     + ", ".join(f"('{name}', {place})" for place, name in enumerate(required_names(), start=1))
     + ") AS t(variable, place)"
 )

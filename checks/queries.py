@@ -57,7 +57,7 @@ def day(text: str) -> Column:
 def steady(name: str, places: int = 6) -> Column:
     """A double cut to a number of places, off any round value, so that the last bits cannot matter."""
     scale = 10.0**places
-    return (F.floor(F.col(name) * scale + 0.3137) / scale).alias(name)
+    return (F.floor(F.col(name) * scale + 0.31371828459) / scale).alias(name)
 
 
 def text(name: str) -> Column:
@@ -751,7 +751,7 @@ def area_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("n_rows"))
 
 
-REPORT_PLACES = {"sum_kwh": 3, "sum_aux_kwh_shore_power": 3, "sum_boiler_kwh_shore_power": 3, "distance_kilometers": 1}
+REPORT_PLACES = {"sum_kwh": 2, "sum_aux_kwh_shore_power": 2, "sum_boiler_kwh_shore_power": 2, "distance_kilometers": 0}
 
 
 def steady_sums(df: DataFrame, default: int) -> DataFrame:
