@@ -11,7 +11,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from checks.oracle import oracle_sql
-from checks.queries import QUERIES
+from checks.registry import QUERIES
 from shipflux.session import build_session
 
 TABLES = (

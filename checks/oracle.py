@@ -24,6 +24,11 @@ def steady(expr: str, name: str | None = None, places: int = 6) -> str:
     return f"floor(({expr}) * {scale} + 0.31371828459e0) / {scale} AS {name or expr}"
 
 
+def half_up(expr: str, places: int) -> str:
+    """Rounding of the shortest decimal text of a double, halves away from zero."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
+
+
 def moment(expr: str, name: str | None = None) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {name or expr}"
 
@@ -920,11 +925,11 @@ GROUP BY ALL
 _report_keys = ", ".join("vessel_class AS vessel_type" if key == "vessel_type" else key for key in REPORT_KEYS)
 PARTS["report"] = f"""
 SELECT {_report_keys}, CAST(sum(delta_previous_point_seconds) AS BIGINT) AS sum_seconds,
-       round(sum(main_engine_kwh) + sum(aux_kwh) + sum(boiler_kwh), 4) AS sum_kwh,
-       round(sum(aux_kwh * (1 - electric_shore_power_at_berth_reduction_factor)), 4) AS sum_aux_kwh_shore_power,
-       round(sum(boiler_kwh * (1 - electric_shore_power_at_berth_reduction_factor)), 4) AS sum_boiler_kwh_shore_power,
+       {half_up('sum(main_engine_kwh) + sum(aux_kwh) + sum(boiler_kwh)', 4)} AS sum_kwh,
+       {half_up('sum(aux_kwh * (1 - electric_shore_power_at_berth_reduction_factor))', 4)} AS sum_aux_kwh_shore_power,
+       {half_up('sum(boiler_kwh * (1 - electric_shore_power_at_berth_reduction_factor))', 4)} AS sum_boiler_kwh_shore_power,
        sum(fuel_tonnes) AS sum_fuel, {', '.join(f'sum({g}_tonnes) AS sum_{g}' for g in GASES)},
-       round(sum(distance_previous_point_meters) / 1000, 2) AS distance_kilometers
+       {half_up('sum(distance_previous_point_meters) / 1000', 2)} AS distance_kilometers
 FROM moved GROUP BY ALL
 """
 
@@ -940,7 +945,7 @@ SELECT * REPLACE ({_steady_sums((*_sums, 'sum_aux_kwh_shore_power', 'sum_boiler_
 
 
 def _rollup(name: str) -> str:
-    return f"round(sum({name}), 4) AS {name}" if name.removeprefix("sum_") in GASES else f"sum({name}) AS {name}"
+    return f"{half_up(f'sum({name})', 4)} AS {name}" if name.removeprefix("sum_") in GASES else f"sum({name}) AS {name}"
 
 
 _published = f"version = '{config.VERSION}' AND in_coast_and_sea_area AND year_month < '{THIS_MONTH}'"
@@ -1019,6 +1024,39 @@ SELECT {text('coalesce(s.date_utc, u.date_utc)', 'date_utc')}, {moment('s.ais_vo
 FROM stats AS s FULL JOIN (SELECT DISTINCT date_utc FROM ais) AS u ON u.date_utc = s.date_utc
 """
 
+# ---------------------------------------------------------------- ingest and tables
+
+FINAL["ingest_variables"] = f"""
+SELECT variable, value, {text('start_date')}, {text('end_date')}, false AS rescued FROM typed
+"""
+FINAL["ingest_vessel_type"] = "SELECT statcode5, nullif(vessel_type, '') AS vessel_type FROM vessel_types"
+FINAL["ingest_aux_boiler"] = """
+SELECT vessel_type, size_bin, unit, low_limit, boiler_berth, aux_berth,
+       CASE WHEN size_bin = 3 THEN -1 ELSE aux_cruise END AS aux_cruise, size_bin = 3 AS rescued
+FROM bins_raw
+"""
+FINAL["ingest_battery"] = f"""
+SELECT {text('mmsi')}, route, {steady("CAST(TRY_CAST(replace(degree_of_electrification, ',', '.') AS FLOAT) AS DOUBLE)",
+                                      'degree_of_electrification', 4)},
+       coalesce(TRY_CAST(replace('1 ' || battery_pack_kwh, ' ', '') AS INTEGER), -1) AS battery_pack_kwh
+FROM battery_raw
+"""
+FINAL["csv_batch"] = f"""
+SELECT mmsi, imo, vessel_name, route, degree_of_electrification, battery_pack_kwh, {text('start_date')}, {text('end_date')},
+       'vessel_battery' AS bi_source FROM battery_raw
+"""
+_by_date = f"""
+SELECT {text('date_utc')}, version, count(*) AS n_rows, {steady('sum(co2_tonnes)', 'co2_tonnes', 5)},
+       {steady('sum(aux_kwh)', 'aux_kwh', 3)}
+FROM fact WHERE date_utc BETWEEN DATE '1997-03-01' AND DATE '1997-05-29' GROUP BY fact.date_utc, version
+"""
+for _name in ("fact_write", "purge_version", "compact"):
+    FINAL[_name] = _by_date
+FINAL["report_write"] = f"""
+SELECT year_month, version, count(*) AS n_rows, CAST(sum(sum_seconds) AS BIGINT) AS sum_seconds,
+       {steady('sum(sum_co2)', 'sum_co2', 4)} FROM report GROUP BY year_month, version
+"""
+
 # ---------------------------------------------------------------- assembly
 
 _SOURCES = {**{name: re.sub(r"\{(\w+)\}", r"\1", sql).replace("`", '"') for name, sql in inputs.SQL.items()}, **PARTS}
