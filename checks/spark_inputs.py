@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import inputs
-from shipflux.session import use_utc, work_folder
+from shipflux.session import prepare_session, work_folder
 
 # Tables written during this session, by application, folder and name.
 _stored: dict[tuple[str, str, str], str] = {}
@@ -16,7 +16,7 @@ _stored: dict[tuple[str, str, str], str] = {}
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input as a plan over the given tables."""
-    use_utc(spark)
+    prepare_session(spark)
     parts = [f"{item} AS ({inputs.SQL[item]})" for item in inputs.needed(name)]
     sql = f"WITH {', '.join(parts)} SELECT * FROM {name}"
     return spark.sql(re.sub(r"\{(\w+)\}", rf"parquet.`{sf_dir}/\1.parquet`", sql))

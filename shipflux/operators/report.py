@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shipflux import config
 from shipflux.functions.keyed import small_side
 from shipflux.operators.voyages import voyage_ends, with_voyages
+from shipflux.session import staged
 
 GASES = ("co2", "nmvoc", "co", "ch4", "n2o", "sox", "pm10", "pm2_5", "nox", "bc", "co2e")
 ZONE = "maritime_borders_norwegian_economic_zone"
@@ -209,8 +210,12 @@ def emission_report(
     zones: DataFrame,
     plans: DataFrame,
 ) -> DataFrame:
-    """The 30-key report from facts and voyages of the dates to report."""
-    rows = pre_aggregate(join_vessel_periods(join_voyages(facts, voyages), vessels))
+    """The 30-key report from facts and voyages of the dates to report.
+
+    The aggregated rows are needed twice, for the voyage ends and for the report.
+    They are written once, so the pass over the facts is not repeated.
+    """
+    rows = staged(pre_aggregate(join_vessel_periods(join_voyages(facts, voyages), vessels)), "report-rows")
     ends = voyage_ends(rows)
     typed = with_voyages(rows, ends, municipalities)
     named = star_join(typed, vessels, ship_names, municipalities, counties, zones, plans)

@@ -6,13 +6,14 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "shipflux", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; anything can be overridden by `conf`."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,10 +29,15 @@ def build_session(app: str = "shipflux", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Positions are stamped in UTC, so dates are only right when the session is too."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Set what results and speed depend on, in a session someone else has built."""
+    # Positions are stamped in UTC, so dates are only right when the session is too.
+    # HotSpot interprets methods above 8000 bytes of bytecode. The stage that computes
+    # all emissions exceeds that as one method; below the limit Spark splits it.
+    wanted = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+    for key, value in wanted.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -47,3 +53,10 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="shipflux-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a written table in the work folder: computed once, with known size and no lineage."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
