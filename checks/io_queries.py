@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from checks.queries import (
     fact_inputs,
-    facts,
     full_report,
     lookups,
     query,
@@ -37,13 +36,18 @@ def write_drop(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").csv(folder, sep=";", header=True, emptyValue="")
 
 
-def ingest_drops(spark: SparkSession, kind: str, parts: list[DataFrame]) -> DataFrame:
-    """Deliver the parts one after the other, with an ingest run after each, and read the bronze table."""
+def ingest_drops(spark: SparkSession, kind: str, parts: list[DataFrame], build=None) -> DataFrame:
+    """Deliver the parts one after the other, with an ingest run after each.
+
+    Returns the bronze table, or with `build` the silver table that follows it.
+    """
     base = work_folder(spark, f"ingest-{kind}")
     for part in parts:
         write_drop(drop_rows(kind, part), f"{base}/drop")
         ingest.ingest(spark, kind, f"{base}/drop", f"{base}/bronze", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/bronze")
+        if build:
+            ingest.follow(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver-checkpoint", build)
+    return spark.read.parquet(f"{base}/{'silver' if build else 'bronze'}")
 
 
 @query
@@ -59,9 +63,11 @@ def ingest_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_vessel_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = given(spark, sf_dir, "vessel_types")
     renamed = rows.withColumn("vessel_type", F.concat(F.lit("Old "), "vessel_type"))
-    bronze = ingest_drops(spark, "vessel_type", [renamed, rows])
-    latest = scd.scd1(bronze.select("statcode5", "vessel_type", "bi_ingested_timestamp"), ["statcode5"], "bi_ingested_timestamp")
-    return latest.select("statcode5", F.nullif("vessel_type", F.lit("")).alias("vessel_type"))
+    names = ("statcode5", "vessel_type", "bi_ingested_timestamp")
+    silver = ingest_drops(
+        spark, "vessel_type", [renamed, rows], lambda bronze: scd.scd1(bronze.select(*names), names[:1], names[2])
+    )
+    return silver.select("statcode5", F.nullif("vessel_type", F.lit("")).alias("vessel_type"))
 
 
 @query

@@ -11,7 +11,6 @@ from checks.spark_inputs import derive, given, positions, stored
 from shipflux import config
 from shipflux.functions.cells import parent_cell
 from shipflux.functions.cleaning import clear_null_words
-from shipflux.functions.keyed import keep_first
 from shipflux.operators import (
     areas,
     electrification,

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux.config import DIESELS, ENGINES, LNG, POLLUTANTS
-from shipflux.functions.rules import case, literal
-from shipflux.operators.factors import factor, on_line
+from shipflux.functions.rules import case, literal, matches
+from shipflux.operators.factors import PLAIN, factor
 from shipflux.operators.fuel import sum_known
 from shipflux.operators.parameters import (
     LOW_LOAD_EDGES,
@@ -26,44 +26,40 @@ def with_area_factors(points: DataFrame) -> DataFrame:
     )
 
 
-def soot_main_factor() -> Column:
-    """Black carbon of the main engine: a load curve, a flat value, or 0 without load.
-
-    Without load the factor is 0 for diesels, and in an ECA for every engine.
-    """
-    load = F.col("main_engine_load_factor")
-    under_way = F.coalesce(load > 0, F.lit(False))
-    diesel = F.coalesce(F.col("main_engine_enginetype").isin(*DIESELS), F.lit(False))
-    coefficient = factor("bc_main_engine_coefficient")
-    return (
-        F.when(~under_way & (F.col("eca") | diesel), F.lit(0.0))
-        .when(under_way & coefficient.isNotNull(), coefficient * F.pow(load, factor("bc_main_engine_exponent")))
-        .otherwise(factor("bc_main_engine_flat"))
-    )
-
-
-def soot_main_tonnes() -> Column:
-    """Per energy for gas fuel and turbines (without the shore-power share), per fuel otherwise."""
-    by_energy = (F.col("main_engine_fueltype") == LNG) | F.col("main_engine_enginetype").isin("ST", "GT")
-    energy = F.col("main_engine_kwh") * (1 - F.col("degree_of_electrification")) / 1_000_000
-    return soot_main_factor() * F.when(by_energy, energy).otherwise(F.col("main_engine_fuel_tonnes"))
-
-
-def particle_factor(engine: str) -> Column:
-    if engine != "main_engine":
-        return factor(f"pm_{engine}")
-    return on_line(factor("pm_main_engine_base"), factor("pm_main_engine_slope"), F.col("sfc_main_engine"))
-
-
-def engine_tonnes(engine: str) -> dict[str, Column]:
+# Black carbon factor of the main engine: a load curve, a flat value, or 0 without load.
+# Without load it is 0 for diesels, and in an ECA for every engine.
+SOOT_CURVE = (
+    f"{factor('bc_main_engine_coefficient')} * power(main_engine_load_factor, {factor('bc_main_engine_exponent')})"
+)
+SOOT_MAIN_FACTOR = f"""
+CASE WHEN main_engine_load_factor > 0 THEN coalesce({SOOT_CURVE}, {factor('bc_main_engine_flat')})
+     WHEN eca OR {matches({'engine': DIESELS}, PLAIN)} THEN 0D
+     ELSE {factor('bc_main_engine_flat')} END
+"""
+# Per energy for gas fuel and turbines (without the shore-power share), per fuel otherwise.
+SOOT_MAIN_ACTIVITY = f"""
+CASE WHEN main_engine_fueltype = '{LNG}' OR main_engine_enginetype IN ('ST', 'GT')
+     THEN main_engine_kwh * (1 - degree_of_electrification) / 1000000
+     ELSE main_engine_fuel_tonnes END
+"""
+PARTICLE_MAIN_FACTOR = f"""
+CASE WHEN {factor('pm_main_engine_slope')} IS NULL THEN {factor('pm_main_engine_base')}
+     ELSE {factor('pm_main_engine_base')} + {factor('pm_main_engine_slope')} * sfc_main_engine END
+"""
+
+
+def engine_tonnes(engine: str) -> dict[str, str]:
     """Tonnes of every pollutant from one engine, before the low-load multiplier."""
-    energy = F.col(f"{engine}_kwh") * F.col("own_share")
-    fuel = F.col(f"{engine}_fuel_tonnes")
-    tonnes = {name: factor(f"{name}_{engine}") * energy for name in ENERGY_POLLUTANTS}
-    tonnes["bc"] = soot_main_tonnes() if engine == "main_engine" else factor(f"bc_{engine}") * energy
-    tonnes["co2"] = factor("cf") * fuel
-    tonnes["pm10"] = particle_factor(engine) * energy
-    tonnes["sox"] = factor(f"sox_{engine}") * fuel
+    energy, fuel = f"{engine}_own_kwh", f"{engine}_fuel_tonnes"
+    tonnes = {name: f"{factor(f'{name}_{engine}')} * {energy}" for name in ENERGY_POLLUTANTS}
+    tonnes["co2"] = f"{factor('cf')} * {fuel}"
+    tonnes["sox"] = f"{factor(f'sox_{engine}')} * {fuel}"
+    if engine == "main_engine":
+        tonnes["bc"] = f"({SOOT_MAIN_FACTOR}) * ({SOOT_MAIN_ACTIVITY})"
+        tonnes["pm10"] = f"({PARTICLE_MAIN_FACTOR}) * {energy}"
+    else:
+        tonnes["bc"] = f"{factor(f'bc_{engine}')} * {energy}"
+        tonnes["pm10"] = f"{factor(f'pm_{engine}')} * {energy}"
     return tonnes
 
 
@@ -84,17 +80,20 @@ def with_engine_emissions(points: DataFrame, values: Parameters) -> DataFrame:
 
     PM2.5 is taken from the main engine before the low-load multiplier.
     """
-    by_engine = {
-        f"{pollutant}_{engine}_tonnes": tonnes
-        for engine in ENGINES
-        for pollutant, tonnes in engine_tonnes(engine).items()
-    }
-    plain = with_area_factors(points).withColumns({**by_engine, "low_load_bin": low_load_bin()})
+    own_kwh = {f"{engine}_own_kwh": F.col(f"{engine}_kwh") * F.col("own_share") for engine in ENGINES}
+    rows = with_area_factors(points).withColumns({"low_load_bin": low_load_bin(), **own_kwh})
+    rows = rows.withColumns(
+        {
+            f"{name}_{engine}_tonnes": F.expr(text)
+            for engine in ENGINES
+            for name, text in engine_tonnes(engine).items()
+        }
+    )
     names = {name: f"{name}_main_engine_tonnes" for name in LOW_LOAD_POLLUTANTS}
     multiplied = {
         column: low_load_multiplier(values, name) * F.col(column) for name, column in names.items()
     }
-    return plain.withColumns(
+    return rows.withColumns(
         {"pm2_5_tonnes": F.col("pm10_main_engine_tonnes") * values.column("pm_2_5"), **multiplied}
     )
 
@@ -103,9 +102,9 @@ def with_totals(points: DataFrame, values: Parameters) -> DataFrame:
     """Sums over the engines, an unknown engine counting as 0, and the CO2 equivalent."""
     summed = points.withColumns(
         {
-            f"{pollutant}_tonnes": sum_known([F.col(f"{pollutant}_{engine}_tonnes") for engine in ENGINES])
+            f"{pollutant}_tonnes": sum_known([f"{pollutant}_{engine}_tonnes" for engine in ENGINES])
             for pollutant in POLLUTANTS
         }
     )
-    warming = [F.col(f"{gas}_tonnes") * values.column(f"co2e_gwp100_{gas}") for gas in ("co2", "ch4", "n2o")]
-    return summed.withColumn("co2e_tonnes", warming[0] + warming[1] + warming[2])
+    warming = (f"{gas}_tonnes * {values[f'co2e_gwp100_{gas}']}" for gas in ("co2", "ch4", "n2o"))
+    return summed.withColumn("co2e_tonnes", F.expr(" + ".join(warming)))

@@ -6,12 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux import config
+from shipflux.functions.rules import Rule, case, decide, literal, matches
 
 # Load limits, engine margin and power rules.
 MAX_LOAD = 0.98
 MIN_POSITIONING_LOAD = 0.1
 ENGINE_MARGIN = 0.85
-MANEUVER_PHASES = ("aq", "dp-o", "f", "m")
+PHASE_MODES = [
+    Rule({"phase": "a"}, "anchor"),
+    Rule({"phase": ("aq", "dp-o", "f", "m")}, "maneuver"),
+    Rule({"phase": "c"}, "cruise"),
+    Rule({"phase": "n"}, "berth"),
+]
 TANKER_REDUCTION = 1 / 3
 OTHER_REDUCTION = 3 / 4
 HOUR = 3600
@@ -23,64 +29,55 @@ MEDIUM_ENGINE_AUX_SHARE = 0.05
 def load_factor() -> Column:
     """Cube of speed over service speed, limited, and 0 at berth and anchor.
 
-    `when` instead of least/greatest: an unknown load must stay NULL.
+    CASE instead of least/greatest: an unknown load must stay NULL.
     """
-    cube = F.pow(F.try_divide(F.col("speed_over_ground"), F.col("speed_service")), F.lit(3.0))
-    phase = F.col("phase")
-    return (
-        F.when(phase.isin("n", "a"), F.lit(0.0))
-        .when((phase == "dp-o") & (cube < MIN_POSITIONING_LOAD), F.lit(MIN_POSITIONING_LOAD))
-        .when(cube < 0, F.lit(0.0))
-        .when(cube > MAX_LOAD, F.lit(MAX_LOAD))
-        .otherwise(cube)
+    cube = "power(try_divide(speed_over_ground, speed_service), 3D)"
+    return F.expr(
+        case(
+            [
+                ("phase IN ('n', 'a')", "0D"),
+                (f"phase = 'dp-o' AND {cube} < {literal(MIN_POSITIONING_LOAD)}", literal(MIN_POSITIONING_LOAD)),
+                (f"{cube} < 0", "0D"),
+                (f"{cube} > {literal(MAX_LOAD)}", literal(MAX_LOAD)),
+            ],
+            cube,
+        )
     )
 
 
-def hours() -> Column:
-    return F.col("delta_previous_point_seconds") / HOUR
-
-
 def main_engine_kwh() -> Column:
-    return (
-        F.col("main_engine_load_factor") * F.col("main_engine_kw") * ENGINE_MARGIN
-        * F.col("delta_previous_point_seconds") / HOUR
+    return F.expr(
+        f"main_engine_load_factor * main_engine_kw * {literal(ENGINE_MARGIN)} * delta_previous_point_seconds / {HOUR}"
     )
 
 
-def phase_power(engine: str) -> Column:
+def phase_power(engine: str) -> str:
     """Power in kW of an auxiliary engine or boiler in the phase of the position."""
-    phase = F.col("phase")
-    return (
-        F.when(phase == "a", F.col(f"{engine}_anchor_kw"))
-        .when(phase.isin(*MANEUVER_PHASES), F.col(f"{engine}_maneuver_kw"))
-        .when(phase == "c", F.col(f"{engine}_cruise_kw"))
-        .when(phase == "n", F.col(f"{engine}_berth_kw"))
-        .otherwise(F.lit(0))
-    )
+    return decide(PHASE_MODES, {"phase": "phase"}, lambda mode: f"{engine}_{mode}_kw", "0")
 
 
-def berth_share() -> Column:
+def berth_share() -> str:
     """Share of power that is left during a long stay at berth."""
-    tanker = F.col("vessel_class").isin(*config.TANKER_CLASSES)
-    remaining = F.col("sail_time_remaining_seconds")
-    return (
-        F.when(F.col("phase") != "n", F.lit(1.0))
-        .when(tanker & (remaining >= 48 * HOUR), F.lit(TANKER_REDUCTION))
-        .when(~tanker & (remaining >= 24 * HOUR), F.lit(OTHER_REDUCTION))
-        .otherwise(F.lit(1.0))
+    tanker = matches({"class": config.TANKER_CLASSES}, {"class": "vessel_class"})
+    return case(
+        [
+            ("phase <> 'n'", "1D"),
+            (f"{tanker} AND sail_time_remaining_seconds >= {48 * HOUR}", literal(TANKER_REDUCTION)),
+            (f"NOT {tanker} AND sail_time_remaining_seconds >= {24 * HOUR}", literal(OTHER_REDUCTION)),
+        ],
+        "1D",
     )
 
 
 def aux_boiler_kwh(engine: str) -> Column:
     """Energy by phase power; small ships have none, medium ones a share of the main engine for aux."""
-    power = F.col("main_engine_kw")
-    seconds = F.col("delta_previous_point_seconds")
-    small = (power > 0) & (power <= SMALL_ENGINE_KW)
-    energy = F.when(small, F.lit(0.0))
+    cases = [(f"main_engine_kw > 0 AND main_engine_kw <= {SMALL_ENGINE_KW}", "0D")]
     if engine == "aux":
-        medium = (power > SMALL_ENGINE_KW) & (power <= MEDIUM_ENGINE_KW)
-        energy = energy.when(medium, power * MEDIUM_ENGINE_AUX_SHARE * seconds / HOUR)
-    return energy.otherwise(phase_power(engine) * seconds / HOUR * berth_share())
+        medium = f"main_engine_kw > {SMALL_ENGINE_KW} AND main_engine_kw <= {MEDIUM_ENGINE_KW}"
+        share = f"main_engine_kw * {literal(MEDIUM_ENGINE_AUX_SHARE)} * delta_previous_point_seconds / {HOUR}"
+        cases.append((medium, share))
+    energy = f"{phase_power(engine)} * delta_previous_point_seconds / {HOUR} * {berth_share()}"
+    return F.expr(case(cases, energy))
 
 
 def with_energy(points: DataFrame) -> DataFrame:

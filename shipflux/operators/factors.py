@@ -263,9 +263,9 @@ FACTOR_NAMES = (
 )
 
 
-def factor(name: str) -> Column:
-    """One factor of the area a position lies in."""
-    return F.col("area_factors")[FACTOR_NAMES.index(name)]
+def factor(name: str) -> str:
+    """One factor of the area a position lies in, as SQL."""
+    return f"area_factors[{FACTOR_NAMES.index(name)}]"
 
 
 PERIOD_COLUMNS = (

@@ -90,40 +90,36 @@ def with_baselines(vessels: DataFrame, values: Parameters) -> DataFrame:
 
 def main_engine_sfc() -> Column:
     """Baseline adjusted by load; turbines keep the baseline."""
-    load, baseline = F.col("main_engine_load_factor"), F.col("sfc_main_engine_baseline")
-    adjusted = baseline * (0.455 * load * load - 0.71 * load + 1.28) + F.col("sfc_pilot_fuel")
-    return F.when(F.col("main_engine_enginetype").isin("GT", "ST"), baseline).otherwise(adjusted)
+    return F.expr(
+        """
+        CASE WHEN main_engine_enginetype IN ('GT', 'ST') THEN sfc_main_engine_baseline
+             ELSE sfc_main_engine_baseline * (
+                    0.455D * main_engine_load_factor * main_engine_load_factor - 0.71D * main_engine_load_factor + 1.28D
+                  ) + sfc_pilot_fuel END
+        """
+    )
 
 
 def own_share() -> Column:
     """Share of energy that is neither battery nor shore power, per million."""
-    return (
-        (1 - F.col("degree_of_electrification"))
-        * F.col("electric_shore_power_at_berth_reduction_factor")
-        / 1_000_000
+    return F.expr(
+        "(1 - degree_of_electrification) * electric_shore_power_at_berth_reduction_factor / 1000000"
     )
 
 
-def fuel_tonnes(engine: str) -> Column:
-    return F.col(f"sfc_{engine}") * F.col(f"{engine}_kwh") * F.col("own_share")
-
-
-def sum_known(columns: list[Column]) -> Column:
-    """Sum in which an unknown part counts as 0."""
-    total = F.coalesce(columns[0], F.lit(0.0))
-    for column in columns[1:]:
-        total = total + F.coalesce(column, F.lit(0.0))
-    return total
+def sum_known(names: list[str]) -> Column:
+    """Sum of columns in which an unknown one counts as 0."""
+    return F.expr(" + ".join(f"coalesce({name}, 0D)" for name in names))
 
 
 def with_fuel(points: DataFrame) -> DataFrame:
     """Fuel per engine, total fuel and its marine-diesel equivalent."""
     sized = points.withColumns({"sfc_main_engine": main_engine_sfc(), "own_share": own_share()})
-    burnt = sized.withColumns({f"{e}_fuel_tonnes": fuel_tonnes(e) for e in ENGINES})
-    per_engine = [F.col(f"{e}_fuel_tonnes") for e in ENGINES]
+    burnt = sized.withColumns({f"{e}_fuel_tonnes": F.expr(f"sfc_{e} * {e}_kwh * own_share") for e in ENGINES})
+    per_engine = [f"{e}_fuel_tonnes" for e in ENGINES]
     return burnt.withColumns(
         {
             "fuel_tonnes": sum_known(per_engine),
-            "fuel_mdo_equivalent_tonnes": sum_known([F.col("mdo_equivalent") * fuel for fuel in per_engine]),
+            "fuel_mdo_equivalent_tonnes": sum_known([f"mdo_equivalent * {fuel}" for fuel in per_engine]),
         }
     )

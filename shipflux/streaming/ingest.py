@@ -67,3 +67,26 @@ def ingest(spark: SparkSession, kind: str, path: str, table: str, checkpoint: st
     stream = read_stream(spark, kind, path, kind in MULTI_LINE)
     typing = TYPING.get(kind)
     return run_once(stream.transform(typing) if typing else stream, table, checkpoint)
+
+
+def follow(
+    spark: SparkSession, bronze: str, silver: str, checkpoint: str, build: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
+    """Rebuild a silver table whenever its bronze table has new rows, then stop.
+
+    The rebuild reads bronze as a whole and replaces silver, so a batch that is
+    repeated after a failure changes nothing.
+    """
+    def rebuild(batch: DataFrame, number: int) -> None:
+        build(batch.sparkSession.read.parquet(bronze)).write.mode("overwrite").parquet(silver)
+
+    query = (
+        spark.readStream.schema(spark.read.parquet(bronze).schema)
+        .parquet(bronze)
+        .writeStream.foreachBatch(rebuild)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query

@@ -1,8 +1,6 @@
 """Cut-off values of load, energy, low-load bins and shore power."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from shipflux.operators import emissions, energy, fuel, parameters, shore_power
 
 BASE = {
@@ -79,5 +77,5 @@ def test_shore_power_needs_a_stay_above_two_hours(spark):
 
 def test_unknown_parts_count_as_zero_in_sums(spark):
     rows = spark.createDataFrame([(1.0, None, 2.0), (None, None, None)], "a double, b double, c double")
-    sums = rows.select(fuel.sum_known([F.col("a"), F.col("b"), F.col("c")])).collect()
+    sums = rows.select(fuel.sum_known(["a", "b", "c"])).collect()
     assert [row[0] for row in sums] == [3.0, 0.0]
