@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shipflux.llm import bpe, suffixes
 from shipflux.llm.common import table
 from shipflux.llm.queries import VOCABULARY
+from shipflux.session import staged
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,3 +31,13 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 # Trained models and merges have no SQL; tests compare with brute-force versions.
 ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, with a written table between two of them."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = staged(docs, f"pipeline-{name}")
+    return docs
