@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
+from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share(spark: SparkSession, value: Any):
+    """Broadcast a value of bounded size to functions that run in Python workers.
+
+    The workers of a local master read this package where the driver does; on a
+    cluster it is installed, or sent along with --py-files.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        root = str(Path(__file__).resolve().parents[2])
+        paths = context.environment.get("PYTHONPATH", "").split(":")
+        if root not in paths:
+            context.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+    return context.broadcast(value)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` worked out once, inside a row expression."""
     return F.element_at(F.transform(F.array(value), body), 1)

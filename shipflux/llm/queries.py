@@ -6,26 +6,63 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, suffixes
+from shipflux.llm import bpe, mtree, quality, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     codec = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, with its evidence."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+# Fixed values of the contract.
+URL_RULES = [
+    urls.Rule("com", "/", "allow"),
+    urls.Rule("example.com", "/en/", "block"),
+    urls.Rule("www.example.com", "/en/", "allow"),
+    urls.Rule("net", "/es/", "block"),
+    urls.Rule("net", "/fr/", "block"),
+]
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best rows for every hundredth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    return mtree.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document, and whether it is contaminated."""
     return suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_urls": op4_urls,
     "op9_decontamination": op9_decontamination,
+    "op10_search": op10_search,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shipflux.llm.common import share
+
 from shipflux.llm.text import plain_words
 
 WINDOW = 13
@@ -218,7 +220,7 @@ def contamination(
         F.lit(0).cast("long").alias("longest_at"),
     )
     for probe in blocks(benchmark, item_id, item_text, window, block_words):
-        sent = spark.sparkContext.broadcast(probe)
+        sent = share(spark, probe)
         rows = rows.mapInArrow(searching(sent), carried)
     return rows.drop("text").mapInArrow(finishing, f"doc_id {id_type}, {FOUND}")
 
