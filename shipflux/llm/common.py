@@ -48,13 +48,14 @@ def lookup_table(rows: DataFrame, value_type: str, buckets: int) -> Column:
     small maps and the hash of the key says which map to ask. Use the literal once
     in an expression and hand it on with `let`: each mention is a copy.
     """
-    held = rows.select(
-        "key", "value", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket")
-    ).toArrow()
-    maps: list[dict] = [{} for _ in range(buckets)]
-    for key, value, bucket in zip(*(held.column(i).to_pylist() for i in range(3)), strict=True):
-        maps[bucket][key] = value
-    return F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{value_type}>>")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
+    entries = F.map_from_entries(F.collect_list(F.struct("key", "value")))
+    held = rows.groupBy(bucket.alias("bucket")).agg(F.to_json(entries).alias("entries")).toArrow()
+    maps = ["{}"] * buckets
+    for at, text in zip(held.column("bucket"), held.column("entries"), strict=True):
+        maps[at.as_py()] = text.as_py()
+    del held
+    return F.from_json(F.lit(f"[{','.join(maps)}]"), f"array<map<string,{value_type}>>")
 
 
 def lookup(table: Column, key: Column) -> Column:

@@ -111,20 +111,29 @@ def dual_descent(
     return w
 
 
-def logistic_fit(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset by Newton steps on smoothed targets."""
+def logistic_fit(margins: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Slope and offset of the lightly penalised log loss with smoothed targets, by Newton steps that must gain."""
     ones, zeros = labels.sum(), (1 - labels).sum()
     target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    x = np.stack([margins, np.ones_like(margins)], axis=1)
-    beta = np.array([0.0, math.log((ones + 1) / (zeros + 1))])
+    scale = float(margins.std()) or 1.0
+    x = np.stack([margins / scale, np.ones_like(margins)], axis=1)
+    ridge = np.diag([1e-2, 1e-6])
+
+    def loss(beta):
+        z = x @ beta
+        return float((np.logaddexp(0, z) - target * z).sum() + beta @ ridge @ beta / 2)
+
+    beta = np.array([1.0, 0.0])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (p - target) + 1e-6 * beta
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), gradient)
-        beta = beta - np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -40, 40)))
+        gradient = x.T @ (p - target) + ridge @ beta
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(2), gradient)
+        while np.abs(step).max() > 1e-9 and loss(beta - step) > loss(beta):
+            step = step / 2
+        beta = beta - step
+        if np.abs(step).max() <= 1e-9:
             break
-    return float(max(beta[0], 0.0)), float(beta[1])
+    return float(max(beta[0], 0.0)) / scale, float(beta[1])
 
 
 def fit(
@@ -173,8 +182,8 @@ def fit(
     )
     target = np.array(held.column("label").to_pylist(), dtype=np.int64)
     if len(set(target.tolist())) < 2:
-        share = float(target.mean()) if len(target) else 0.5
-        return Model({}, 0.0, 0.0, math.log((share + 1e-6) / (1 - share + 1e-6)))
+        ones = float(target.mean()) if len(target) else 0.5
+        return Model({}, 0.0, 0.0, math.log((ones + 1e-6) / (1 - ones + 1e-6)))
     features = [np.array(t, dtype=np.int64) for t in held.column("terms").to_pylist()]
     apart = int(len(target) * CALIBRATED)
     values = np.array(list(ratios.values()))

@@ -35,8 +35,18 @@ CALIBRATED = 0.2
 PRIOR_VOTES = 0.5
 
 
-def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+# Besides whole words, beginnings of this many letters are terms: insults are inflected.
+BEGINNINGS = (4, 5)
+
+
+def term_frequencies(text: str | None) -> Counter:
+    """Words, and beginnings of longer words marked by a hyphen, with their counts."""
+    counts = Counter(WORD.findall(text.lower())) if text else Counter()
+    for word, n in list(counts.items()):
+        for size in BEGINNINGS:
+            if len(word) > size:
+                counts[word[:size] + "-"] += n
+    return counts
 
 
 @dataclass
@@ -70,8 +80,8 @@ class Index:
     def vector(self, text: str | None) -> tuple[tuple[int, ...], np.ndarray]:
         """Terms and unit-length weights (1 + log tf) * idf of a whole text."""
         idf = self.idf
-        counts = Counter(w for w in words(text or "") if w in idf)
-        entries = sorted((idf[w][0], (1 + math.log(n)) * idf[w][1]) for w, n in counts.items())
+        counts = term_frequencies(text)
+        entries = sorted((idf[w][0], (1 + math.log(counts[w])) * idf[w][1]) for w in counts.keys() & idf.keys())
         weights = np.array([e[1] for e in entries])
         norm = math.sqrt(float(weights @ weights)) if len(weights) else 1.0
         return tuple(e[0] for e in entries), weights / norm
@@ -142,7 +152,7 @@ def inverse_frequencies(docs: DataFrame, text: str, terms: list[str]) -> dict[st
         held, rows = Counter(), 0
         for batch in batches:
             for value in batch.column(0):
-                held.update(sent.value.intersection(words(value.as_py() or "")))
+                held.update(sent.value & term_frequencies(value.as_py()).keys())
             rows += batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [pa.array(["", *held], pa.string()), pa.array([rows, *held.values()], pa.int64())], names=["term", "n"]
@@ -176,7 +186,7 @@ def fit(
         .dropDuplicates(["doc_id"])
     )
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(known, "doc_id")
-    idf = inverse_frequencies(docs, text, telling_terms(term_counts(rows, "text", "label", words), max_terms))
+    idf = inverse_frequencies(docs, text, telling_terms(term_counts(rows, "text", "label", term_frequencies), max_terms))
     vectors = Index(idf, 0.5, [], np.zeros(0), np.zeros(0), [], []).sealed()
     sent = share(docs.sparkSession, vectors)
 
