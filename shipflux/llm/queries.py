@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, quality, suffixes, toxicity, urls
+from shipflux.llm import bpe, mtree, passages, quality, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -45,6 +45,11 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of earlier ones."""
+    return passages.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best rows for every hundredth vector."""
     rows = table(spark, sf_dir, "embeddings")
@@ -61,6 +66,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_urls": op4_urls,
+    "op5_passages": op5_passages,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,
 }
