@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, passages, quality, suffixes, toxicity, urls
+from shipflux.llm import bpe, mtree, near, passages, quality, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -50,6 +50,11 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return near.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best rows for every hundredth vector."""
     rows = table(spark, sf_dir, "embeddings")
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_urls": op4_urls,
     "op5_passages": op5_passages,
+    "op6_near": op6_near,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,
 }
