@@ -1,7 +1,10 @@
 """Byte-level BPE: encode and decode with the ranks of a public vocabulary file.
 
-Bytes travel as strings whose characters are the code points 0 to 255 (ISO-8859-1),
-so that concatenation, splitting and map keys work on them as they do on bytes.
+Inside expressions everything is a string, which Spark copies, compares and joins
+cheaply: bytes are the characters U+0000 to U+00FF (ISO-8859-1), an id is the
+character of that code point. Ids follow the ranks, so the lowest rank is the
+smallest string. With U+0000 after each id, UTF-16LE writes what is stored: ids as
+little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ from pyspark.sql import functions as F
 
 from shipflux.llm.common import let, literal_array, lookup, lookup_table
 
-LATIN = "ISO-8859-1"
+LATIN, WIDE = "ISO-8859-1", "UTF-16LE"
+# From here on code points are no characters of their own.
+MAX_TOKENS = 0xD800
 RANK_BUCKETS = 1 << 16
 # So many of the most frequent words are encoded once for all texts.
 DICTIONARY_WORDS = 400_000
@@ -29,39 +34,41 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-def to_bytes(text: Column) -> Column:
-    return F.decode(F.encode(text, "UTF-8"), LATIN)
-
-
 @dataclass(frozen=True)
 class Codec:
-    """Expressions over one vocabulary: `words`, `word_ids`, `decode`, `packed`."""
+    """Expressions over one vocabulary; ids are packed: binary, four bytes each, little-endian."""
 
     pattern: str
     ranks: Column
     pieces: Column
-    packed_ids: Column
 
     def words(self, text: Column) -> Column:
         """The matches of the pattern. Java needs to be told that \\s means all white space."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + self.pattern), F.lit(0))
 
+    def rank(self, table: Column, piece: Column) -> Column:
+        """The id of a piece as a character, or null."""
+        return F.element_at(table, F.pmod(F.xxhash64(piece), F.size(table)).cast("int") + 1)[piece]
+
     def word_ids(self, word: Column, ranks: Column) -> Column:
-        """The ids of one word: itself, if it is a token, or what the ranked merges leave."""
+        """The ids of one word, each followed by U+0000: itself, if it is a token, or what the merges leave."""
+        raw = F.decode(F.encode(word, "UTF-8"), LATIN)
         return let(
-            to_bytes(word),
+            raw,
             lambda raw: let(
-                lookup(ranks, raw),
-                lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(self.folded(raw, ranks)),
+                self.rank(ranks, raw),
+                lambda whole: F.when(whole.isNotNull(), F.concat(whole, F.lit("\0"))).otherwise(
+                    self.folded(raw, ranks)
+                ),
             ),
         )
 
     def folded(self, raw: Column, table: Column) -> Column:
         """Merge the neighbours of lowest rank, leftmost first, until no pair has a rank."""
-        none = F.array().cast("array<int>")
+        none = F.array().cast("array<string>")
 
         def rank(piece):
-            return lookup(table, piece)
+            return self.rank(table, piece)
 
         def ranked(parts):
             count = F.size(parts) - 1
@@ -89,31 +96,34 @@ class Codec:
             at = F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int")
             return let(at, lambda at: F.when(at.isNull(), state).otherwise(merge(state, at)))
 
+        def ids(state):
+            return F.concat(F.array_join(F.transform(state["parts"], rank), "\0"), F.lit("\0"))
+
         parts = F.split(raw, "")
         start = let(parts, lambda p: F.struct(p.alias("parts"), ranked(p).alias("ranks")))
-        return F.aggregate(
-            F.slice(parts, 2, F.size(parts)), start, step, lambda state: F.transform(state["parts"], rank)
-        )
+        return F.aggregate(F.slice(parts, 2, F.size(parts)), start, step, ids)
 
     def decode(self, ids: Column) -> Column:
-        """The bytes of the ids: the tokens' pieces, joined."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.element_at(self.pieces, i + 1)), ""), LATIN)
-
-    def packed(self, ids: Column) -> Column:
-        """The ids as little-endian unsigned 32-bit integers."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.element_at(self.packed_ids, i + 1)), ""), LATIN)
+        """The bytes of packed ids: the tokens' pieces, joined."""
+        chars = F.filter(F.split(F.decode(ids, WIDE), ""), lambda c, i: i % 2 == 0)
+        pieces = F.transform(chars, lambda c: F.element_at(self.pieces, F.ascii(c) + 1))
+        return F.when(F.length(ids) > 0, F.encode(F.array_join(pieces, ""), LATIN)).otherwise(F.lit(b""))
 
 
 def codec(spark: SparkSession, path: str, pattern: str) -> Codec:
-    """The codec of a rank file that holds all 256 bytes."""
+    """The codec of a rank file that holds all 256 bytes and fewer tokens than MAX_TOKENS."""
     tokens = [token.decode(LATIN) for token in read_ranks(path)]
-    ranks = spark.createDataFrame(pa.table({"key": tokens, "value": pa.array(range(len(tokens)), pa.int32())}))
-    return Codec(
-        pattern,
-        lookup_table(ranks, "int", RANK_BUCKETS),
-        literal_array(tokens, "string"),
-        literal_array((i.to_bytes(4, "little").decode(LATIN) for i in range(len(tokens))), "string"),
-    )
+    if len(tokens) > MAX_TOKENS:
+        raise ValueError(f"{len(tokens)} tokens; ids are characters below {MAX_TOKENS}")
+    table = pa.table({"key": tokens, "value": [chr(i) for i in range(len(tokens))]})
+    bucket = F.pmod(F.xxhash64("key"), F.lit(RANK_BUCKETS)).cast("int")
+    entries = F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "value"))))
+    held = spark.createDataFrame(table).groupBy(bucket.alias("bucket")).agg(entries.alias("entries")).toArrow()
+    maps = ["{}"] * RANK_BUCKETS
+    for at, text in zip(held.column("bucket"), held.column("entries"), strict=True):
+        maps[at.as_py()] = text.as_py()
+    ranks = F.from_json(F.lit(f"[{','.join(maps)}]"), "array<map<string,string>>")
+    return Codec(pattern, ranks, literal_array(tokens, "string"))
 
 
 def frequent_words(docs: DataFrame, codec: Codec, text: str, limit: int) -> DataFrame:
@@ -121,14 +131,13 @@ def frequent_words(docs: DataFrame, codec: Codec, text: str, limit: int) -> Data
     counts = docs.select(F.explode(codec.words(F.col(text))).alias("key")).groupBy("key").count()
     # After the limit all rows lie in one partition; the merges are spread again.
     top = counts.orderBy(F.desc("count"), "key").limit(limit).repartition("key")
-    ids = let(codec.ranks, lambda ranks: codec.word_ids(F.col("key"), ranks))
-    return top.select("key", ids.alias("value"))
+    return top.select("key", let(codec.ranks, lambda ranks: codec.word_ids(F.col("key"), ranks)).alias("value"))
 
 
 def encode(
     docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids", dictionary: int = DICTIONARY_WORDS
 ) -> DataFrame:
-    """`docs` with the array column `out`: the token ids of the whole text.
+    """`docs` with the binary column `out`: the packed token ids of the whole text.
 
     Words are counted over all texts; the `dictionary` most frequent are merged once
     and looked up from a literal of that bounded size. The rest are so rare that
@@ -136,23 +145,22 @@ def encode(
     needs no shuffle of words. Null and empty texts have no ids; repeated rows are
     encoded alike; other columns pass through, and `out` replaces one of its name.
     """
-    frequent = lookup_table(
-        frequent_words(docs, codec, text, dictionary), "array<int>", DICTIONARY_BUCKETS
-    )
+    frequent = lookup_table(frequent_words(docs, codec, text, dictionary), DICTIONARY_BUCKETS)
     words = codec.words(F.col(text))
 
-    def word_ids(known, ranks):
-        return F.transform(words, lambda w: F.coalesce(lookup(known, w), codec.word_ids(w, ranks)))
+    def joined(known, ranks):
+        ids = F.transform(words, lambda w: F.coalesce(lookup(known, w), codec.word_ids(w, ranks)))
+        return F.array_join(ids, "")
 
-    ids = let(frequent, lambda known: let(codec.ranks, lambda ranks: F.flatten(word_ids(known, ranks))))
-    return docs.withColumn(out, ids)
+    ids = let(frequent, lambda known: let(codec.ranks, lambda ranks: joined(known, ranks)))
+    return docs.withColumn(out, F.encode(ids, WIDE))
 
 
 def digests(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """doc_id, n_tokens and the sha256 of the packed ids and of the decoded bytes."""
     return encoded.select(
         F.col(doc_id),
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(codec.packed(F.col(ids)), 256).alias("ids_sha256"),
+        (F.length(ids) / 4).cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2(codec.decode(F.col(ids)), 256).alias("decoded_sha256"),
     )

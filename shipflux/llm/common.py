@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shipflux.session import staged
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,28 +42,60 @@ def learnable(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
-def lookup_table(rows: DataFrame, value_type: str, buckets: int) -> Column:
-    """A bounded table as one literal for `lookup`.
+# Parts of an entry in a `lookup_table`; keys that hold one of them are not kept there.
+ENTRY, VALUE = "\ufffe", "\uffff"
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, limit: int
+) -> DataFrame:
+    """(doc_id, text, label): at most `limit` labelled rows that may be learnt, as a written table.
+
+    The rows with the smallest hashes of their id are taken. Their ids are bounded,
+    so they are broadcast and no text is shuffled to find them. Labels other than 0
+    and 1 are left out; of several labels of one id the smallest counts.
+    """
+    usable = (
+        labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("label").isin(0, 1) & learnable(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"))
+    )
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return staged(rows.join(F.broadcast(chosen), "doc_id"), "labelled")
 
-    `rows` has the columns key (string) and value and is collected, so the caller
+
+def lookup_table(rows: DataFrame, buckets: int) -> Column:
+    """A bounded table of strings as one literal for `lookup`.
+
+    `rows` has the string columns key and value and is collected, so the caller
     bounds it. Spark scans maps from end to end, so the literal is an array of
-    small maps and the hash of the key says which map to ask. Use the literal once
-    in an expression and hand it on with `let`: each mention is a copy.
+    short strings of entries, and the hash of the key says which one to search. Use
+    the literal once in an expression and hand it on with `let`: each mention is a copy.
     """
     bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
-    entries = F.map_from_entries(F.collect_list(F.struct("key", "value")))
-    held = rows.groupBy(bucket.alias("bucket")).agg(F.to_json(entries).alias("entries")).toArrow()
-    maps = ["{}"] * buckets
+    entry = F.concat(F.lit(ENTRY), "key", F.lit(VALUE), "value")
+    clean = rows.filter(~F.col("key").contains(ENTRY) & ~F.col("key").contains(VALUE))
+    held = clean.groupBy(bucket.alias("bucket")).agg(F.array_join(F.collect_list(entry), "").alias("entries")).toArrow()
+    texts = [""] * buckets
     for at, text in zip(held.column("bucket"), held.column("entries"), strict=True):
-        maps[at.as_py()] = text.as_py()
-    del held
-    return F.from_json(F.lit(f"[{','.join(maps)}]"), f"array<map<string,{value_type}>>")
+        texts[at.as_py()] = text.as_py()
+    return literal_array(texts, "string")
 
 
 def lookup(table: Column, key: Column) -> Column:
     """The value of `key` in a `lookup_table`, or null."""
     bucket = F.pmod(F.xxhash64(key), F.size(table)).cast("int") + 1
-    return F.element_at(table, bucket)[key]
+
+    def value(entries, mark):
+        rest = F.call_function("substring_index", entries, mark, F.lit(-1))
+        return F.when(entries.contains(mark), F.call_function("substring_index", rest, F.lit(ENTRY), F.lit(1)))
+
+    return let(
+        F.concat(F.lit(ENTRY), key, F.lit(VALUE)),
+        lambda mark: let(F.element_at(table, bucket), lambda entries: value(entries, mark)),
+    )
 
 
 def literal_array(values: Iterable, value_type: str) -> Column:

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import learnable, share
+from shipflux.llm.common import labelled_sample, learnable, share
 from shipflux.llm.tokens import TOKEN, term_counts
 
-# Labelled rows the linear model is fitted on, chosen by a hash of their id.
-MAX_ROWS = 12_000
+# Labelled rows the model is fitted on, chosen by a hash of their id.
+MAX_ROWS = 16_000
 # N-grams the model keeps: those whose ratio is farthest from chance.
 MAX_TERMS = 30_000
 MIN_COUNT = 5
@@ -147,17 +147,12 @@ def fit(
 ) -> Model:
     """A model from the labels that may be learnt.
 
-    Ratios count all such rows; the linear model sees `max_rows` of them, the ones
-    with the smallest hashes of their id. Rows with a null or other label than 0
-    and 1 teach nothing. Without rows of both classes the model has no weights and
-    scores the share of label 1 (one half without rows).
+    It sees at most `max_rows` of them, the ones with the smallest hashes of their
+    id. Rows with a null or other label than 0 and 1 teach nothing. Without rows of
+    both classes the model has no weights and scores the share of label 1 (one half
+    without rows).
     """
-    known = (
-        labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & learnable(F.col("doc_id")))
-        .dropDuplicates(["doc_id"])
-    )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(known, "doc_id")
+    rows = labelled_sample(docs, labels, doc_id, text, label, max_rows)
     ratios = log_count_ratios(term_counts(rows, "text", "label", ngrams), max_terms, MIN_COUNT)
     names = {term: i for i, term in enumerate(ratios)}
     sent = share(docs.sparkSession, names)
@@ -170,11 +165,8 @@ def fit(
                 [batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["label", "terms"]
             )
 
-    chosen = rows.join(
-        known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id"), "doc_id", "left_semi"
-    )
     held = (
-        chosen.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+        rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
         .limit(max_rows)
         .select("text", "label")
         .mapInArrow(index, "label int, terms array<int>")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import learnable, share
+from shipflux.llm.common import labelled_sample, learnable, share
 from shipflux.llm.quality import logistic_fit, probability
 from shipflux.llm.tokens import WORD, term_counts
 
@@ -175,17 +175,12 @@ def fit(
 ) -> Index:
     """The index of labelled examples, from the labels that may be learnt.
 
-    Terms are chosen on all such rows and weighted by all texts; `max_examples`
-    rows, the ones with the smallest hashes of their id, become examples or, a fifth
-    of them, calibrate the votes. Rows with a null or other label than 0 and 1
+    At most `max_examples` rows, the ones with the smallest hashes of their id, choose
+    the terms and become examples or, a fifth of them, calibrate the votes. Terms are
+    weighted by their frequency in all texts. Rows with a null or other label than 0 and 1
     teach nothing. Without rows of both classes every text gets the base rate.
     """
-    known = (
-        labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & learnable(F.col("doc_id")))
-        .dropDuplicates(["doc_id"])
-    )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(known, "doc_id")
+    rows = labelled_sample(docs, labels, doc_id, text, label, max_examples)
     idf = inverse_frequencies(docs, text, telling_terms(term_counts(rows, "text", "label", term_frequencies), max_terms))
     vectors = Index(idf, 0.5, [], np.zeros(0), np.zeros(0), [], []).sealed()
     sent = share(docs.sparkSession, vectors)
@@ -203,11 +198,8 @@ def fit(
                 names=["doc_id", "label", "terms", "weights"],
             )
 
-    chosen = rows.join(
-        known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).select("doc_id"), "doc_id", "left_semi"
-    )
     held = (
-        chosen.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+        rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
         .limit(max_examples)
         .mapInArrow(vectorised, "doc_id string, label int, terms array<int>, weights array<double>")
         .toArrow()
