@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, near, passages, quality, suffixes, toxicity, urls
+from shipflux.llm import bpe, mtree, near, pages, passages, quality, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +55,11 @@ def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"), urls.host_of)
+
+
 def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best rows for every hundredth vector."""
     rows = table(spark, sf_dir, "embeddings")
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op5_passages": op5_passages,
     "op6_near": op6_near,
+    "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,
 }
