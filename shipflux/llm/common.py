@@ -37,6 +37,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` is called so."""
+    while name in {c.lower() for c in df.columns}:
+        name = f"{name}_"
+    return name
+
+
 def learnable(doc_id: Column) -> Column:
     """True for the rows whose labels may be learnt; the others are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import share
+from shipflux.llm.common import fresh, share
 from shipflux.llm.components import components
 from shipflux.llm.text import mixed, plain_words, run_hashes, word_hashes
 from shipflux.session import staged
@@ -241,5 +241,6 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
 
     Rows of one id share their fate; rows with a null id are kept.
     """
-    gone = classes(docs, doc_id, text, threshold).filter("doc_id <> class_id").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct().hint("merge"), docs[doc_id] == F.col("gone"), "left_anti")
+    gone = fresh(docs, "gone")
+    later = classes(docs, doc_id, text, threshold).filter("doc_id <> class_id").select(F.col("doc_id").alias(gone))
+    return docs.join(later.distinct().hint("merge"), F.col(doc_id) == F.col(gone), "left_anti")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, near, pages, passages, quality, suffixes, toxicity, urls
+from shipflux.llm import bpe, mtree, near, pages, passages, quality, secrets, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -60,6 +60,11 @@ def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"), urls.host_of)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate finding in the documents, with the forest's verdict."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best rows for every hundredth vector."""
     rows = table(spark, sf_dir, "embeddings")
@@ -78,6 +83,7 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op5_passages": op5_passages,
     "op6_near": op6_near,
+    "op7_secrets": op7_secrets,
     "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,

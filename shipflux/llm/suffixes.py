@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import share
-
+from shipflux.llm.common import fresh, share
 from shipflux.llm.text import plain_words
 
 WINDOW = 13
@@ -297,6 +296,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     Rows with a null id have no name to be removed by and are kept.
     """
-    bad = contamination(docs, benchmark, doc_id, text).filter("contaminated").select("doc_id").distinct()
-    return docs.join(bad, docs[doc_id] == bad["doc_id"], "left_anti")
-
+    bad = fresh(docs, "bad")
+    found = contamination(docs, benchmark, doc_id, text).filter("contaminated").select(F.col("doc_id").alias(bad))
+    return docs.join(found.distinct(), F.col(doc_id) == F.col(bad), "left_anti")
