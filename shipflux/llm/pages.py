@@ -203,11 +203,12 @@ def main_text(source: str | None, templates: frozenset[int] = frozenset()) -> st
             node = stack.pop()
             if isinstance(node, str):
                 parts.append(node)
-            elif id(node) not in removed and not (node.furniture and node is not start):
-                if node.tag not in INLINE:
-                    parts.append(" ")
-                    stack.append(" ")
-                stack.extend(reversed(node.children))
+                continue
+            block = node.tag not in INLINE
+            if block:
+                parts.append(" ")
+            if id(node) not in removed and not (node.furniture and node is not start):
+                stack.extend([" ", *reversed(node.children)] if block else reversed(node.children))
     return " ".join("".join(parts).split())
 
 
