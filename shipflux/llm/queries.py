@@ -73,7 +73,8 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document, and whether it is contaminated."""
-    return suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 QUERIES = {
@@ -89,4 +90,59 @@ QUERIES = {
     "op10_search": op10_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_PASSAGES = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, starts, array_to_string(words[starts:starts + 12], ' ') AS passage
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS starts FROM texts) AS s),
+firsts AS (SELECT passage, min(doc_id) AS first_id FROM windows GROUP BY passage),
+gone AS (SELECT doc_id, list(DISTINCT place) AS places
+         FROM (SELECT doc_id, unnest(range(starts, starts + 13)) AS place
+               FROM windows JOIN firsts USING (passage) WHERE first_id < doc_id) AS p GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN words
+         ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc_id)
+"""
+
+_CONTAMINATION = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[starts:starts + size - 1], ' ') AS passage
+  FROM (SELECT item_id, words, least(13, len(words)) AS size, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS starts
+        FROM items WHERE len(words) > 0) AS s),
+doc_windows AS (
+  SELECT doc_id, size, starts, array_to_string(words[starts:starts + size - 1], ' ') AS passage
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS starts
+        FROM texts, (SELECT DISTINCT size FROM item_windows) AS sizes) AS s),
+found AS (SELECT doc_id, starts, d.size, item_id FROM doc_windows AS d JOIN item_windows AS i ON d.passage = i.passage AND d.size = i.size),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+         FROM (SELECT doc_id, unnest(range(starts, starts + size)) AS place FROM found) AS p GROUP BY doc_id),
+owners AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""
+
+_SEARCH = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable AS q JOIN usable AS c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+# Trained models, merges and components have no SQL here; tests/llm compares those by brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op5_passages": _PASSAGES,
+    "op9_decontamination": _CONTAMINATION,
+    "op10_search": _SEARCH,
+}
