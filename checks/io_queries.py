@@ -16,14 +16,14 @@ from checks.queries import (
 from checks.spark_inputs import derive, given, positions
 from shipflux import config, schemas
 from shipflux.functions.cleaning import DATE_PATTERN
-from shipflux.operators import report, sinks
+from shipflux.operators import sinks
 from shipflux.plans import jobs, points
 from shipflux.session import work_folder
 from shipflux.sources import csv_drops
 from shipflux.streaming import ingest, scd
 
-# One job range of 90 dates.
-RANGE = ("1997-03-01", "1997-05-29")
+# Dates of one job range: few ranges, but more than one.
+DATES_PER_RANGE = 900
 
 
 def drop_rows(kind: str, rows: DataFrame) -> DataFrame:
@@ -109,12 +109,12 @@ def csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pending_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A job log in which exactly one range is still to do."""
-    inside = F.col("date_utc").between(*(F.lit(end).cast("date") for end in RANGE))
+def all_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job log in which every date is still to do."""
     days = positions(spark, sf_dir).select("date_utc").distinct()
-    upstream = F.col("date_utc").cast("timestamp")
-    return days.select("date_utc", upstream.alias("ais_voyages"), F.when(~inside, upstream).alias("emission"))
+    return days.select(
+        "date_utc", F.col("date_utc").cast("timestamp").alias("ais_voyages"), F.lit(None).cast("timestamp").alias("emission")
+    )
 
 
 def by_date(table: DataFrame) -> DataFrame:
@@ -128,20 +128,22 @@ def fact_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact job, run twice over the same pending dates: the second run replaces the first."""
     path = work_folder(spark, "facts")
     for _ in range(2):
-        jobs.run_fact_job(positions(spark, sf_dir), pending_range(spark, sf_dir), fact_inputs(spark, sf_dir), path)
+        jobs.run_fact_job(
+            positions(spark, sf_dir), all_pending(spark, sf_dir), fact_inputs(spark, sf_dir), path,
+            max_dates=DATES_PER_RANGE, spread=1,
+        )
     return by_date(spark.read.parquet(path))
 
 
-def range_facts(spark: SparkSession, sf_dir: str, version: str = config.VERSION) -> DataFrame:
-    wanted = report.in_dates(positions(spark, sf_dir), *RANGE)
-    return points.emission_facts(wanted, lookups(spark, sf_dir), version)
+def version_facts(spark: SparkSession, sf_dir: str, version: str = config.VERSION) -> DataFrame:
+    return points.emission_facts(positions(spark, sf_dir), lookups(spark, sf_dir), version)
 
 
 @query
 def purge_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "facts")
     for version in (config.VERSION, "v0.9"):
-        sinks.write_facts(range_facts(spark, sf_dir, version), path)
+        sinks.write_facts(version_facts(spark, sf_dir, version), path, 1)
     sinks.purge_version(spark, path, "v0.9")
     return by_date(spark.read.parquet(path))
 
@@ -150,15 +152,15 @@ def purge_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts scattered over many small files, then rewritten; the rows stay the same."""
     path = work_folder(spark, "facts")
-    dated = range_facts(spark, sf_dir).withColumn("date_utc", F.to_date("date_time_utc"))
-    dated.repartition(16).write.partitionBy(*sinks.FACT_PARTITIONS).parquet(path)
-    sinks.compact(spark, path, sinks.FACT_PARTITIONS, ("mmsi", "date_time_utc"))
+    dated = version_facts(spark, sf_dir).withColumn("date_utc", F.to_date("date_time_utc"))
+    dated.repartition(3).write.partitionBy(*sinks.FACT_PARTITIONS).parquet(path)
+    sinks.compact(spark, path, sinks.FACT_PARTITIONS, ("mmsi", "date_time_utc"), spread=1)
     return by_date(spark.read.parquet(path))
 
 
 @query
 def report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of a range, written twice: the months are replaced, not added."""
+    """The report, written twice: the months are replaced, not added."""
     path = work_folder(spark, "report")
     for _ in range(2):
         sinks.write_report(sinks.with_processing_time(full_report(spark, sf_dir)), path)

@@ -832,20 +832,19 @@ FROM fact
 
 # ---------------------------------------------------------------- report
 
-PARTS["wanted"] = f"SELECT * FROM fact WHERE CAST(date_time_utc AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
 FINAL["fact_scan"] = f"""
 SELECT mmsi, {moment('date_time_utc')}, strftime(date_time_utc, '%Y') AS year, left(municipality_id, 2) AS county_id,
        {steady('aux_kwh * (1 - electric_shore_power_at_berth_reduction_factor)', 'aux_kwh_shore_power')},
        {steady('boiler_kwh * (1 - electric_shore_power_at_berth_reduction_factor)', 'boiler_kwh_shore_power')},
        in_norwegian_continental_shelf, version
-FROM wanted
+FROM fact WHERE CAST(date_time_utc AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
 """
 PARTS["joined"] = """
 SELECT f.* EXCLUDE (voyage_type, ship_is_stopped, delta_previous_point_seconds, distance_previous_point_meters,
          unlocode_country_code),
        a.voyage_type, a.ship_is_stopped, a.delta_previous_point_seconds, a.distance_previous_point_meters,
        a.unlocode_country_code
-FROM wanted AS f JOIN ais AS a ON a.mmsi = f.mmsi AND a.date_time_utc = f.date_time_utc
+FROM fact AS f JOIN ais AS a ON a.mmsi = f.mmsi AND a.date_time_utc = f.date_time_utc
 """
 FINAL["fact_voyage_join"] = f"""
 SELECT mmsi, {moment('date_time_utc')}, voyage_type, ship_is_stopped, municipality_id, unlocode_country_code,
@@ -1048,7 +1047,7 @@ SELECT mmsi, imo, vessel_name, route, degree_of_electrification, battery_pack_kw
 _by_date = f"""
 SELECT {text('date_utc')}, version, count(*) AS n_rows, {steady('sum(co2_tonnes)', 'co2_tonnes', 5)},
        {steady('sum(aux_kwh)', 'aux_kwh', 3)}
-FROM fact WHERE date_utc BETWEEN DATE '1997-03-01' AND DATE '1997-05-29' GROUP BY fact.date_utc, version
+FROM fact GROUP BY fact.date_utc, version
 """
 for _name in ("fact_write", "purge_version", "compact"):
     FINAL[_name] = _by_date

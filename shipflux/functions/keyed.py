@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast below this size; executors hold it once per JVM.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -21,22 +22,44 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def catalyst_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate, an upper bound taken from file sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row takes in a hash table: a word per column and what lies behind it."""
+    total = F.lit(64)
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        size = F.lit(0)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            size = F.size(column) * 8
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(column))
+        total = total + 16 + F.coalesce(size, F.lit(0))
+    return total
 
 
-def small_side(df: DataFrame, row_bytes: int = 128, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark `df` for broadcast only when its size is known to be below `limit`.
+_measured: dict[tuple[str, int], int] = {}
 
-    File-based tables are settled by Catalyst's estimate. Derived tables, whose
-    estimate is far too high, are counted (a distributed count of a side that is
-    small if the answer is yes). Anything larger stays unhinted and joins by
-    shuffle, where adaptive execution splits skewed partitions.
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all rows in memory, worked out once per plan and application.
+
+    File sizes say little about it: a column of few distinct names is almost free on
+    disk. The measure is a distributed sum that returns one number.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if key not in _measured:
+        _measured[key] = df.agg(F.sum(row_bytes(df).cast("long"))).first()[0] or 0
+    return _measured[key]
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark `df` for broadcast only when its rows are known to take less than `limit`.
+
+    Anything larger joins by shuffle, where adaptive execution splits skewed
+    partitions; the hint keeps the planner from broadcasting it on its file size.
     """
-    if catalyst_bytes(df) <= limit:
-        return F.broadcast(df)
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    return F.broadcast(df) if measured_bytes(df) <= limit else df.hint("merge")
 
 
 def null_safe_equal(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +65,27 @@ def report_voyages(voyages: DataFrame, first: str | None = None, last: str | Non
     return in_dates(voyages, first, last).select(*VOYAGE_COLUMNS)
 
 
+def touched_voyages(voyages: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """All positions of the voyages that have one in the range, and the positions in the range without a voyage."""
+    if first is None and last is None:
+        return voyages
+    inside = in_dates(voyages, first, last)
+    named = inside.filter("sail_id IS NOT NULL").select("sail_id").distinct()
+    return voyages.join(named, "sail_id", "left_semi").unionByName(inside.filter("sail_id IS NULL").select(voyages.columns))
+
+
+def reach(voyages: DataFrame, first: str | None, last: str | None) -> tuple[str | None, str | None]:
+    """First and last date of the voyages that have a position in the range, and of the range itself."""
+    if first is None and last is None:
+        return None, None
+    day = F.to_date("date_time_utc")
+    ends = touched_voyages(voyages, first, last).agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return (
+        first and (str(min(ends["first"], date.fromisoformat(first))) if ends["first"] else first),
+        last and (str(max(ends["last"], date.fromisoformat(last))) if ends["last"] else last),
+    )
+
+
 def join_voyages(facts: DataFrame, voyages: DataFrame) -> DataFrame:
     """Two large sides on (ship, time): a shuffle that spreads even a single busy ship."""
     return facts.join(voyages, ["mmsi", "date_time_utc"], "inner")
@@ -76,7 +99,6 @@ def join_vessel_periods(rows: DataFrame, vessels: DataFrame) -> DataFrame:
             F.col("start_date").alias("period_start"),
             F.col("end_date").alias("_period_end"),
         ),
-        row_bytes=32,
     )
     day = F.to_date("date_time_utc")
     condition = (
@@ -209,14 +231,19 @@ def emission_report(
     counties: DataFrame,
     zones: DataFrame,
     plans: DataFrame,
+    months: tuple[str | None, str | None] | None = None,
 ) -> DataFrame:
-    """The 30-key report from facts and voyages of the dates to report.
+    """The 30-key report from facts and voyages; of the `months` between two dates, or all.
 
     The aggregated rows are needed twice, for the voyage ends and for the report.
     They are written once, so the pass over the facts is not repeated.
     """
     rows = staged(pre_aggregate(join_vessel_periods(join_voyages(facts, voyages), vessels)), "report-rows")
     ends = voyage_ends(rows)
+    if months:
+        month = F.col("year_month")
+        rows = rows.filter(month >= months[0][:7]) if months[0] else rows
+        rows = rows.filter(month <= months[1][:7]) if months[1] else rows
     typed = with_voyages(rows, ends, municipalities)
     named = star_join(typed, vessels, ship_names, municipalities, counties, zones, plans)
     final = svalbard_override(named).withColumnRenamed("vessel_class", "vessel_type")

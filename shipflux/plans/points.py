@@ -95,7 +95,6 @@ def interval_join(points: DataFrame, vessels: DataFrame) -> DataFrame:
         vessels.select(
             "vessel_id", F.col("start_date").alias("period_start"), F.col("end_date").alias("period_end")
         ),
-        row_bytes=32,
     )
     day = F.to_date("date_time_utc")
     matched = points.join(periods, "vessel_id", "inner")
@@ -112,7 +111,7 @@ def one_per_time(points: DataFrame) -> DataFrame:
 def attach_vessels(points: DataFrame, vessel_factors: DataFrame) -> DataFrame:
     """Consumption and emission factors of the vessel period a position belongs to."""
     table = vessel_factors.drop("end_date").withColumnRenamed("start_date", "period_start")
-    return points.join(small_side(table, row_bytes=1024), ["vessel_id", "period_start"], "inner")
+    return points.join(small_side(table), ["vessel_id", "period_start"], "inner")
 
 
 def locate(points: DataFrame, lookups: Lookups) -> DataFrame:

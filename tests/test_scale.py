@@ -75,7 +75,7 @@ def test_results_are_the_same_without_broadcasts(spark, sf_dir):
 
     limit, threshold = keyed.small_side.__defaults__, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        keyed.small_side.__defaults__ = (128, 0)
+        keyed.small_side.__defaults__ = (0,)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         shuffled = q.facts(spark, sf_dir).select(*names)
         assert "BroadcastHashJoin" not in executed(shuffled)
