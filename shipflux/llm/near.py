@@ -25,8 +25,6 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 32, 6
 # Texts whose registers are filled together.
 CHUNK_TEXTS = 1_000
-# Rounds in which every bucket compares its members with one of them.
-STAR_ROUNDS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -181,21 +179,15 @@ def classes(
         sides = pairs.join(held.toDF("a", "left").hint("merge"), "a").join(held.toDF("b", "right").hint("merge"), "b")
         return staged(sides.mapInArrow(verified(length, threshold), f"a {id_type}, b {id_type}"), "links")
 
-    found, roots = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        members = open_buckets(buckets, roots)
-        if members.isEmpty():
-            break
-        new = links(stars(members, turn) if turn < STAR_ROUNDS else strays(members))
-        found = new if found is None else found.union(new)
-        if not new.isEmpty():
-            roots = components(found)
+    everyone = buckets.withColumn("root", F.col("id"))
+    found = links(stars(everyone, 0).union(stars(everyone, 1)))
+    roots = components(found)
+    rest = links(strays(open_buckets(buckets, roots)))
+    if not rest.isEmpty():
+        roots = components(found.union(rest))
     # Ids that stand for several contents are one vertex, so the smallest root holds for all of them.
     by_rep = reps.select("content", F.col("rep").alias("representative"))
-    if roots is not None:
-        by_rep = by_rep.join(roots.withColumnRenamed("id", "representative"), "representative", "left")
-    else:
-        by_rep = by_rep.withColumn("root", F.col("representative"))
+    by_rep = by_rep.join(roots.withColumnRenamed("id", "representative"), "representative", "left")
     by_rep = by_rep.select("content", "representative", F.coalesce("root", "representative").alias("class_id"))
     return sketch.select("doc_id", "content").join(by_rep.hint("merge"), "content", "left").select(
         "doc_id",
@@ -204,10 +196,8 @@ def classes(
     )
 
 
-def open_buckets(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+def open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """(key, id, root): members of the buckets that still hold ids of different components."""
-    if roots is None:
-        return buckets.withColumn("root", F.col("id"))
     labelled = buckets.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     labelled = staged(labelled, "members")
     mixed_keys = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
@@ -215,7 +205,7 @@ def open_buckets(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def stars(members: DataFrame, turn: int) -> DataFrame:
-    """One member of a bucket with every member of another component: as many pairs as rows."""
+    """One member of a bucket, another for every turn, with every other: as many pairs as rows."""
     pivots = members.groupBy("key").agg(
         F.min(F.struct(F.xxhash64(F.col("id"), F.lit(turn)).alias("order"), "id", "root")).alias("pivot")
     )
