@@ -21,8 +21,10 @@ from shipflux.llm.text import run_hashes, space_words, word_hashes
 WINDOW = 13
 # The sketch: rows of 2^CELL_BITS cells that saturate at 2; what travels is one bit a cell.
 ROWS = 2
-CELL_BITS = 28
+CELL_BITS = 29
 BLOCK_BITS = 20
+# Marks, in place of a second hash, that the first one is a text's: a smaller id has the whole text.
+WHOLE = -1
 # Windows a task sketches, and words it hashes, at a time.
 SKETCH_WINDOWS = 4_000_000
 CHUNK_WORDS = 500_000
@@ -40,6 +42,11 @@ def windows(texts: list[str | None], length: int) -> tuple[np.ndarray, np.ndarra
     return first[inside], second[inside], owner[: len(first)][inside], words
 
 
+def text_hash(text: str) -> int:
+    digest = hashlib.md5(text.encode(), usedforsecurity=False).digest()
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str | None]]]:
     """The rows of a batch as (ids, texts) of about CHUNK_WORDS words, or one longer text."""
     ids, texts, held = [], [], 0
@@ -155,12 +162,27 @@ def repeated_cells(rows: DataFrame, length: int, bits: int) -> list[np.ndarray]:
 
 
 def flagged(sent, length: int, bits: int):
-    """(h1, h2, doc_id): each document's windows that the sketch has seen twice, once a document row."""
+    """(h1, h2, doc_id): each document's windows that the sketch has seen twice, once a document row.
+
+    A text that a smaller id of the same task has had is one row with h2 = WHOLE: all
+    its windows start there as well, so copies cost a row instead of their windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = sent.value
+        earlier: dict = {}
         for batch in batches:
             for ids, texts in chunks(batch):
+                copies, marks = [], []
+                for i, text in enumerate(texts):
+                    if text:
+                        key = hashlib.md5(text.encode(), usedforsecurity=False).digest()
+                        if key in earlier and earlier[key] < ids[i]:
+                            copies.append(ids[i])
+                            marks.append(text_hash(text))
+                            texts[i] = None
+                        else:
+                            earlier[key] = ids[i]
                 first, second, owner, _ = windows(texts, length)
                 kept = np.ones(len(first), dtype=bool)
                 for row in range(ROWS):
@@ -171,11 +193,17 @@ def flagged(sent, length: int, bits: int):
                 first, second, owner = first[order], second[order], owner[order]
                 fresh = np.ones(len(first), dtype=bool)
                 fresh[1:] = (first[1:] != first[:-1]) | (owner[1:] != owner[:-1])
-                doc = pa.array(ids, batch.schema.field("doc_id").type).take(pa.array(owner[fresh]))
+                kind = batch.schema.field("doc_id").type
+                doc = pa.array(ids, kind).take(pa.array(owner[fresh]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(first[fresh].view(np.int64)), pa.array(second[fresh].astype(np.int32)), doc],
                     names=["h1", "h2", "doc_id"],
                 )
+                whole = pa.array([WHOLE] * len(copies), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(marks, pa.int64()), whole, pa.array(copies, kind)],
+                    names=["h1", "h2", "doc_id"],
+                )
 
     return run
 
@@ -194,8 +222,9 @@ def cut_out(length: int):
                     gone = batch.column("gone")[at + i].values
                     left = one
                     if gone is not None and len(gone):
-                        hashes = first[cut[i] : cut[i + 1]].view(np.int64)
-                        starts = np.isin(hashes, gone.to_numpy())
+                        hashes, gone = first[cut[i] : cut[i + 1]].view(np.int64), gone.to_numpy()
+                        whole = bool(texts[i]) and text_hash(texts[i]) in gone
+                        starts = np.ones(len(hashes), dtype=bool) if whole else np.isin(hashes, gone)
                         edge = np.zeros(len(one) + 1, dtype=np.int64)
                         edge[: len(starts)] += starts
                         edge[length : length + len(starts)] -= starts
@@ -233,19 +262,12 @@ def dedup(
     id_type = docs.schema[doc_id].dataType.simpleString()
     sent = share(docs.sparkSession, repeated_cells(named, length, bits))
     found = named.mapInArrow(flagged(sent, length, bits), f"h1 long, h2 int, doc_id {id_type}")
+    single = found.filter(F.col("h2") != WHOLE)
     # The smallest id of a window is summed up before the shuffle; the join splits hot windows.
-    firsts = (
-        found.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .filter("first < last")
-        .drop("last")
-    )
-    gone = (
-        found.join(firsts.hint("merge"), ["h1", "h2"])
-        .filter("doc_id > first")
-        .groupBy("doc_id")
-        .agg(F.collect_set("h1").alias("gone"))
-    )
+    firsts = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    later = single.join(firsts.hint("merge"), ["h1", "h2"]).filter("doc_id > first").select("doc_id", "h1")
+    copies = found.filter(F.col("h2") == WHOLE).select("doc_id", "h1")
+    gone = later.union(copies).groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
     joined = rows.join(gone, "doc_id", "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(
         cut_out(length), f"doc_id {id_type}, kept string, n_words long, n_removed long, kept_sha256 string"
