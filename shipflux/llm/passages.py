@@ -8,6 +8,7 @@ needs the windows it flags and loses none.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,6 +83,19 @@ def unpacked(data: bytes) -> np.ndarray:
     return (np.cumsum(steps) + np.cumsum(ends))[ends] - 1
 
 
+class Sketch:
+    """A bit for every cell of every row; compressed while it travels."""
+
+    def __init__(self, rows: list[np.ndarray]):
+        self.rows = rows
+
+    def __getstate__(self) -> list[bytes]:
+        return [zlib.compress(row.tobytes(), 1) for row in self.rows]
+
+    def __setstate__(self, state: list[bytes]) -> None:
+        self.rows = [np.frombuffer(zlib.decompress(row), dtype=np.uint8) for row in state]
+
+
 def sketched(length: int, bits: int, block_bits: int):
     """Cells of a task's windows by block: those seen, and those seen twice."""
 
@@ -169,7 +183,7 @@ def flagged(sent, length: int, bits: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = sent.value
+        sketch = sent.value.rows
         earlier: dict = {}
         for batch in batches:
             for ids, texts in chunks(batch):
@@ -260,7 +274,7 @@ def dedup(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     named = rows.filter("doc_id IS NOT NULL")
     id_type = docs.schema[doc_id].dataType.simpleString()
-    sent = share(docs.sparkSession, repeated_cells(named, length, bits))
+    sent = share(docs.sparkSession, Sketch(repeated_cells(named, length, bits)))
     found = named.mapInArrow(flagged(sent, length, bits), f"h1 long, h2 int, doc_id {id_type}")
     single = found.filter(F.col("h2") != WHOLE)
     # The smallest id of a window is summed up before the shuffle; the join splits hot windows.
