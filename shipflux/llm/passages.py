@@ -138,7 +138,7 @@ def merged(block_bits: int):
         at, seen, twice = None, None, None
 
         def done():
-            bits = np.packbits(twice, bitorder="little").tobytes()
+            bits = zlib.compress(np.packbits(twice, bitorder="little").tobytes(), 1)
             return pa.RecordBatch.from_arrays(
                 [pa.array([at], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"]
             )
@@ -171,7 +171,7 @@ def repeated_cells(rows: DataFrame, length: int, bits: int) -> list[np.ndarray]:
     for batch in dealt.mapInArrow(merged(block_bits), "block int, bits binary").toArrow().to_batches():
         for block, data in zip(batch.column("block").to_pylist(), batch.column("bits"), strict=True):
             row, number = block >> 20, block & ((1 << 20) - 1)
-            out[row][number * size : (number + 1) * size] = np.frombuffer(data.as_py(), dtype=np.uint8)
+            out[row][number * size : (number + 1) * size] = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint8)
     return out
 
 
