@@ -24,6 +24,8 @@ from shipflux.streaming import ingest, scd
 
 # Dates of one job range: few ranges, but more than one.
 DATES_PER_RANGE = 900
+# Dates from here on are processed a second time.
+AGAIN = "1998-05-01"
 
 
 def drop_rows(kind: str, rows: DataFrame) -> DataFrame:
@@ -125,13 +127,14 @@ def by_date(table: DataFrame) -> DataFrame:
 
 @query
 def fact_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact job, run twice over the same pending dates: the second run replaces the first."""
+    """The fact job over all dates, then again with the last months pending once more: they are replaced."""
     path = work_folder(spark, "facts")
+    log = all_pending(spark, sf_dir)
     for _ in range(2):
-        jobs.run_fact_job(
-            positions(spark, sf_dir), all_pending(spark, sf_dir), fact_inputs(spark, sf_dir), path,
-            max_dates=DATES_PER_RANGE, spread=1,
+        log = jobs.run_fact_job(
+            positions(spark, sf_dir), log, fact_inputs(spark, sf_dir), path, max_dates=DATES_PER_RANGE, spread=1
         )
+        log = log.withColumn("emission", F.when(F.col("date_utc") < AGAIN, F.col("emission")))
     return by_date(spark.read.parquet(path))
 
 
@@ -153,7 +156,7 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts scattered over many small files, then rewritten; the rows stay the same."""
     path = work_folder(spark, "facts")
     dated = version_facts(spark, sf_dir).withColumn("date_utc", F.to_date("date_time_utc"))
-    dated.repartition(3).write.partitionBy(*sinks.FACT_PARTITIONS).parquet(path)
+    dated.repartition(2).write.partitionBy(*sinks.FACT_PARTITIONS).parquet(path)
     sinks.compact(spark, path, sinks.FACT_PARTITIONS, ("mmsi", "date_time_utc"), spread=1)
     return by_date(spark.read.parquet(path))
 
