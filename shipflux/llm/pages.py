@@ -51,11 +51,17 @@ MARKS = frozenset(
     " comment comments commentlist disqus respond replies share sharing social related widget toolbar pagination"
     " pager skip copyright".split()
 )
+# Attributes as the HTML tokenizer reads them: a quote opens a value only directly after the equals sign,
+# anywhere else it is an ordinary character. The parts are possessive, so a tag is read once.
+GAP = r"[\t\n\f\r ]*+"
+VALUE = r"""(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\t\n\f\r >"'][^\t\n\f\r >]*+))"""
+NAME = r"([^\t\n\f\r />][^\t\n\f\r />=]*+)"
+ATTRIBUTE = re.compile(rf"{NAME}(?:{GAP}={GAP}{VALUE}?+)?+")
 PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\t\n\f\r />]*+)"
+    rf"(?P<attributes>(?:[\t\n\f\r /]++|{ATTRIBUTE.pattern})*+)(?P<close>>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -66,9 +72,11 @@ class Element:
     children: list = field(default_factory=list)
 
     def names(self) -> dict[str, str]:
-        return {
-            m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(self.attributes)
-        }
+        """Values by name; of several attributes of one name the first counts."""
+        found: dict[str, str] = {}
+        for m in ATTRIBUTE.finditer(self.attributes):
+            found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+        return found
 
     @property
     def furniture(self) -> bool:
@@ -101,12 +109,12 @@ def parse(source: str | None) -> Element:
             return root
         text(source[at : match.start()])
         at = match.end()
-        if not match[2]:
+        if not match["tag"]:
             continue
-        if not match[4]:  # a tag that the end of the page cuts off
+        if not match["close"]:  # a tag that the end of the page cuts off
             return root
-        tag = match[2].lower()
-        if match[1]:
+        tag = match["tag"].lower()
+        if match["end"]:
             if any(e.tag == tag for e in stack):
                 while stack.pop().tag != tag:
                     pass
@@ -118,7 +126,7 @@ def parse(source: str | None) -> Element:
                 break
             if stack[depth].tag in SCOPES and stack[depth].tag not in ends:
                 break
-        element = Element(tag, match[3])
+        element = Element(tag, match["attributes"])
         stack[-1].children.append(element)
         if tag in VOID:
             continue

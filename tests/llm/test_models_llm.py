@@ -189,6 +189,21 @@ PAGES = [
 ]
 
 
+STRAY = [
+    ("<p>one <a title=Don't href=x>link</a> two</p><p>three</p>", "one link two three"),
+    ('<a href="x"">link</a> two <a href="y">three</a> four', "link two three four"),
+    ("<p it's \">a</p><p title = 'x > y' \"class='nav'>b</p><p class=nav' x>c</p>d", "a b d"),
+    ("<p class=lead class=nav>a</p><br/><a href=/x/>b</a><p title=>c</p><p =\">d</p>", "a b c d"),
+    ("<p>one <a href=\"x>two</a>", "one"),
+]
+
+
+def test_quotes_open_values_only_after_an_equals_sign():
+    for source, text in STRAY:
+        assert pages.main_text(source) == text, source
+    assert pages.parse("<p title=Don't 'class=\"a\" id=\"b\">").children[0].names() == {"title": "Don't", "'class": "a", "id": "b"}
+
+
 def test_pages_by_hand(spark):
     rows = [(i, f"http://h{i}.org/", s, "t") for i, (s, _) in enumerate(PAGES)]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
