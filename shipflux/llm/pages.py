@@ -1,7 +1,8 @@
 """Main text of web pages: site templates and page furniture are removed, then blocks are joined.
 
-A template is a subtree that many pages of one host have outside their article.
-Subtrees are hashed in every page and counted per host in Spark.
+A template is a subtree that many pages of one host have outside their article, or a block
+that many otherwise different articles of one host have inside. Subtrees are hashed in
+every page and counted per host in Spark.
 """
 
 from __future__ import annotations
@@ -9,9 +10,11 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +23,9 @@ from pyspark.sql import functions as F
 # A subtree is a template of a host if so many of its pages, and this share of them, have it.
 MIN_PAGES = 5
 MIN_SHARE = 0.3
+# Inside articles so many of them are enough, whatever their share, for a block of so many characters.
+MANY_ARTICLES = 50
+LONG = 20
 # A task hands its counts on when it holds so many.
 HELD_COUNTS = 500_000
 
@@ -37,6 +43,9 @@ CLOSES = {
 }
 SCOPES = frozenset("ul ol dl table select article section main aside nav div body html td th blockquote".split())
 
+# Inside an article these go only with a larger block: alike cells, items and headings are no templates.
+PARTS = frozenset("tr td th thead tbody tfoot caption dt dd li pre h1 h2 h3 h4 h5 h6".split())
+
 # Elements that are never main text, whatever they hold.
 FURNITURE = frozenset(
     "head script style noscript template nav header footer aside form button input select textarea option iframe"
@@ -78,7 +87,7 @@ class Element:
             found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
         return found
 
-    @property
+    @cached_property
     def furniture(self) -> bool:
         if self.tag in FURNITURE:
             return True
@@ -92,6 +101,10 @@ class Element:
             self.tag == "article" and bool(words & {"comment", "comments", "related", "promo"})
         )
 
+    @cached_property
+    def articles(self) -> list[Element]:
+        return outermost(self)
+
 
 def parse(source: str | None) -> Element:
     """The element tree of a page. Missing end tags are supplied, stray ones are skipped."""
@@ -150,6 +163,10 @@ def walk(root: Element) -> Iterator[tuple[Element, bool]]:
 
 def articles(root: Element) -> list[Element]:
     """The outermost article elements, or the main elements of a page without, that are no furniture."""
+    return root.articles
+
+
+def outermost(root: Element) -> list[Element]:
     for tag in ("article", "main"):
         found, inside, barred = [], 0, 0
         for node, begins in walk(root):
@@ -178,31 +195,89 @@ def subtree_hashes(root: Element) -> dict[int, int]:
             parts = [node.tag, node.attributes.strip()]
             for child in node.children:
                 parts.append(" ".join(child.split()) if isinstance(child, str) else str(hashes.get(id(child), 0)))
-            digest = hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
-            hashes[id(node)] = int.from_bytes(digest, "little", signed=True)
+            hashes[id(node)] = digest(*parts)
     return hashes
 
 
-def contains_article(root: Element) -> set[int]:
-    """Identities of the elements above an article: they are never templates."""
-    held, above, path = {id(a) for a in articles(root)}, set(), []
-    for node, begins in walk(root):
-        if begins:
-            path.append(id(node))
-            if id(node) in held:
-                above.update(path)
-        else:
-            path.pop()
-    return above
+def digest(*parts: str) -> int:
+    made = hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(made, "little", signed=True)
+
+
+@dataclass
+class Block:
+    """A block inside an article: its hash, whether it is LONG, and texts at three places of the rest of the article."""
+
+    element: Element
+    hash: int
+    long: bool
+    rest: tuple[int, int, int]
+    texts: range
+
+
+def article_blocks(root: Element) -> tuple[int, int, list[Block]]:
+    """The hash of what the articles say, the number of their texts, and the blocks inside that are not all of it.
+
+    A text is what a block holds itself and in inline elements. Attributes are left
+    out of the hashes, as they often number the copies of one block.
+    """
+    texts: list[list[str]] = []
+    found: list[tuple[Element, int, int, int]] = []
+    for article in articles(root):
+        stack: list = [(article, False)]
+        path: list[tuple[int, list[int]]] = []
+        while stack:
+            node, begun = stack.pop()
+            if isinstance(node, str):
+                texts[path[-1][0]].append(node)
+                continue
+            block = node.tag not in INLINE or node is article
+            if begun:
+                at, children = path.pop()
+                made = digest(node.tag, " ".join("".join(texts[at]).split()), *map(str, children))
+                if path:
+                    path[-1][1].append(made)
+                    if node.tag not in PARTS:
+                        found.append((node, made, at, len(texts)))
+                continue
+            if node.furniture and node is not article:
+                continue
+            if block:
+                path.append((len(texts), []))
+                texts.append([])
+                stack.append((node, True))
+            elif node.tag == "br":
+                texts[path[-1][0]].append(" ")
+            stack.extend((c, False) for c in reversed(node.children))
+    said = [" ".join("".join(t).split()) for t in texts]
+    held = [at for at, t in enumerate(said) if t]
+    hashes = [digest("text", said[at]) for at in held]
+    blocks = []
+    for node, made, start, stop in found:
+        first, last = bisect_left(held, start), bisect_left(held, stop)
+        others = len(held) - (last - first)
+        if first == last or not others:
+            continue
+        rest = tuple(hashes[k if k < first else k + last - first] for k in (0, (others - 1) // 2, others - 1))
+        long = sum(len(said[at]) for at in held[first:last]) >= LONG
+        blocks.append(Block(node, made, long, rest, range(first, last)))
+    return digest("article", *map(str, hashes)), len(held), blocks
 
 
 def main_text(source: str | None, templates: frozenset[int] = frozenset()) -> str:
-    """The blocks of the article (of the page, if it has none) without furniture and templates."""
+    """The blocks of the article (of the page, if it has none) without furniture and templates.
+
+    Articles of which templates would leave nothing are copies and stay whole.
+    """
     root = parse(source)
     removed = set()
-    if templates:
-        above = contains_article(root)
-        removed = {key for key, value in subtree_hashes(root).items() if value in templates and key not in above}
+    if templates and not articles(root):
+        removed = {key for key, value in subtree_hashes(root).items() if value in templates}
+    elif templates:
+        _, texts, blocks = article_blocks(root)
+        known = [b for b in blocks if b.hash in templates]
+        if len({at for b in known for at in b.texts}) < texts:
+            removed.update(id(b.element) for b in known)
     parts: list[str] = []
     for start in articles(root) or [root]:
         stack: list = [start]
@@ -221,44 +296,68 @@ def main_text(source: str | None, templates: frozenset[int] = frozenset()) -> st
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): the subtree hashes that recur on a host; pages has host and html.
+    """(host, templates): the hashes that recur on a host; pages has host and html.
 
-    A task adds up its pages before the shuffle. A host has at most as many templates
-    as a page has subtrees, divided by the share.
+    Outside articles pages are counted. Inside, different articles are, and
+    two of three places in the rest of them must differ too (half as many texts as
+    articles): blocks of near copies of one article are no templates. A task adds up
+    its pages before the shuffle.
     """
+    names = ["host", "subtree", "article", "first", "middle", "last", "long"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+        types = [pa.string(), *[pa.int64()] * 5, pa.bool_()]
 
         def flush():
-            keys = list(held)
-            columns = [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.int64()),
-                pa.array([held[k] for k in keys], pa.int64()),
-            ]
+            columns = [pa.array([k[i] for k in held], t) for i, t in enumerate(types)]
+            columns.append(pa.array(list(held.values()), pa.int64()))
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["host", "subtree", "n"])
+            return pa.RecordBatch.from_arrays(columns, names=[*names, "n"])
+
+        def key(host, subtree, article=None, rest=(None, None, None), long=False):
+            return (host, subtree, article, *rest, long)
 
         for batch in batches:
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-                held[(host, None)] += 1
-                held.update({(host, h) for h in subtree_hashes(parse(source.as_py())).values()})
+                root = parse(source.as_py())
+                held[key(host, None)] += 1
+                held.update({key(host, h) for h in subtree_hashes(root).values()})
+                article, _, blocks = article_blocks(root)
+                held.update({key(host, b.hash, article, b.rest, b.long) for b in blocks})
                 if len(held) >= HELD_COUNTS:
                     yield flush()
         yield flush()
 
+    # A block that an article has twice counts once.
+    once = ["host", "subtree", "article"]
+    differ = [F.approx_count_distinct(place, 0.2).alias(place) for place in ("first", "middle", "last")]
+    apart = sum((F.col(place) >= F.col("n_articles") / 2).cast("int") for place in ("first", "middle", "last"))
     counted = (
         pages.filter("host <> ''")
         .select("host", "html")
-        .mapInArrow(count, "host string, subtree long, n long")
+        .mapInArrow(
+            count, "host string, subtree long, article long, first long, middle long, last long, long boolean, n long"
+        )
+        .groupBy(*once)
+        .agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in names[3:]))
         .groupBy("host", "subtree")
-        .agg(F.sum("n").alias("n"))
-        .filter((F.col("n") >= min_pages) | F.col("subtree").isNull())
+        .agg(
+            F.sum(F.when(F.col("article").isNull(), F.col("n"))).alias("n"),
+            F.count("article").alias("n_articles"),
+            F.max("long").alias("long"),
+            *differ,
+        )
+        .filter((F.col("n") >= min_pages) | F.col("subtree").isNull() | ((F.col("n_articles") >= min_pages) & (apart >= 2)))
     )
     size = F.max(F.when(F.col("subtree").isNull(), F.col("n"))).alias("pages")
-    found = F.collect_list(F.when(F.col("subtree").isNotNull(), F.struct("subtree", "n"))).alias("found")
-    kept = F.filter("found", lambda f: f["n"] >= F.col("pages") * min_share)
+    entry = F.struct("subtree", F.coalesce("n", F.lit(0)).alias("n"), "n_articles", "long")
+    found = F.collect_list(F.when(F.col("subtree").isNotNull(), entry)).alias("found")
+    kept = F.filter(
+        "found",
+        lambda f: (F.greatest(f["n"], f["n_articles"]) >= F.col("pages") * min_share)
+        | (f["long"] & (f["n_articles"] >= MANY_ARTICLES)),
+    )
     return (
         counted.groupBy("host")
         .agg(size, found)
@@ -273,8 +372,7 @@ def extract(
     """page_id, url, text and n_chars of every page row; `host(url)` gives the column of the host.
 
     Main text is what the articles hold (the main element, or the body, of a page
-    without articles), without furniture and comments; templates are looked for
-    outside articles. Character references are decoded, white space becomes one
+    without articles), without furniture, comments and templates. Character references are decoded, white space becomes one
     space, blocks are joined by one. Null and empty pages have an empty text;
     pages without a host have no templates; repeated rows are extracted alike.
     """

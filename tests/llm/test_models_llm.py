@@ -226,6 +226,29 @@ def test_site_templates_go_but_articles_stay(spark):
     assert found[92] == ""
 
 
+def test_templates_inside_articles_go_but_copies_stay(spark):
+    notice = "<div class=x{i}><p>Write to our desk</p><p>every day of the week</p></div>"
+    own = "<article><h1>Head {i}</h1><p>own text {i} <b>same</b></p>" + notice + "<p>more {i}</p><p>Thanks</p></article>"
+    words = ["one", "two", "three", "four", "five", "six"]
+    # Near copies: one block of six has a word changed.
+    near = ["<article>" + "".join(f"<p>{w} of the copy{i if i % 6 == k else ''}</p>" for k, w in enumerate(words)) + "</article>" for i in range(60)]
+    rows = [(i, "http://a.org/", own.format(i=i)) for i in range(10)]
+    # A host so large that the share says nothing; a short block needs the share.
+    rows += [(100 + i, "http://b.org/", own.format(i=i) if i < 60 else f"<article><p>b {i}</p><p>x {i}</p></article>") for i in range(300)]
+    rows += [(500 + i, "http://c.org/", source) for i, source in enumerate(near)]
+    rows += [(600 + i, "http://d.org/", own.format(i=1)) for i in range(10)]
+    rows += [(700, "http://a.org/", "<article>" + notice + "</article>")]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.extract(docs, urls.host_of).collect()}
+    assert all(found[i] == f"Head {i} own text {i} same more {i}" for i in range(10))
+    assert all(found[100 + i] == f"Head {i} own text {i} same more {i} Thanks" for i in range(60))
+    assert all(found[100 + i] == f"b {i} x {i}" for i in range(60, 300))
+    assert all(found[500 + i] == pages.main_text(source) for i, source in enumerate(near))
+    whole = "Head 1 own text 1 same Write to our desk every day of the week more 1 Thanks"
+    assert all(found[600 + i] == whole for i in range(10))
+    assert found[700] == "Write to our desk every day of the week"
+
+
 def test_pipeline_by_hand(spark):
     """Each stage against its operator on what the stage before kept."""
     docs = table(spark, SF, "documents")
