@@ -23,14 +23,25 @@ FORMATS = {
     "slack_token": r"xox[abprs]-[A-Za-z0-9-]{10,}",
     "google_api_key": r"AIza[A-Za-z0-9_-]{35}",
     "json_web_token": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    # To its end line; without one, the full lines of the body that follow. No part repeats over another key.
+    "private_key": r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END))[^-]*+){0,1000}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]{40,76}(?=\r?\n|\\n|\z)){0,400})",
 }
 SECRET_WORDS = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?)"
 BENIGN_WORDS = r"(?i)(?:sha\d*|md5|commit|checksum|digest|uuid|guid|order|invoice|phone|tel|card|isbn|version|build|revision)"
 # Any other candidate: twelve or more of these characters, a digit among them, between other characters.
 GENERAL = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}(?![A-Za-z0-9+/_-])"
-# A quoted or bare value that a secret word is assigned, whatever it is made of.
-ASSIGNED = r"(?<=(?:password|passwd|secret|token|apikey|api_key)[=:])[^\s\"'<>]{8,}"
+# The whole quoted or a bare value that a secret word is assigned, whatever it is made of; the word may be quoted
+# too. What stands directly before is looked at first, which spares most places the longer look back.
+ASSIGNS = r"(?<=[=:][ \t]{0,8}%s)(?<=(?i:passw(?:or)?d|passwd|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?)[\"']?[ \t]{0,8}[=:][ \t]{0,8}%s)"
+QUOTED = r"(?:[^%s\\\r\n]++(?:\\.[^%s\\\r\n]*+){0,256}|(?:\\.[^%s\\\r\n]*+){1,256})(?=%s)"
+ASSIGNED = "|".join(
+    [
+        *((ASSIGNS % (q, q)) + QUOTED.replace("%s", q) for q in ('"', "'")),
+        ASSIGNS % ("[\"']?", "[\"']?") + r"[^\s\"'<>]{8,}",
+    ]
+)
 CANDIDATE = "|".join([*(f"(?<![A-Za-z0-9_-]){p}(?![A-Za-z0-9_-])" for p in FORMATS.values()), ASSIGNED, GENERAL])
 # Characters on either side that are looked at for neighbouring words.
 NEARBY = 40
