@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, near, pages, passages, quality, secrets, suffixes, toxicity, urls
+from shipflux.llm import alignment, bpe, collocations, mtree, near, pages, passages, quality, secrets, suffixes, toxicity, urls
 from shipflux.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -77,6 +77,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the two tokenizers' tokens in every document."""
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), alignment.Tokenizers.read(*files))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language of the documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -88,6 +99,8 @@ QUERIES = {
     "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,
+    "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 _PASSAGES = r"""
@@ -140,9 +153,41 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 10
 """
 
+_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents) AS cut),
+totals AS (SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang),
+counted AS (
+  SELECT lang, array_to_string(words[starts:starts + size - 1], ' ') AS phrase, size, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS starts
+        FROM pieces, (SELECT unnest(range(1, 6)) AS size) AS sizes WHERE len(words) >= size) AS s
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, f, size, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM counted WHERE size > 1) AS c),
+scores AS (
+  SELECT c.lang, c.phrase, c.size, c.f AS a, l.f AS l, r.f AS r, n, k, (1000 * c.f * CAST(n AS HUGEINT)) // (l.f * r.f) AS score
+  FROM cuts AS c JOIN totals USING (lang)
+  JOIN counted AS l ON l.lang = c.lang AND l.phrase = c.head JOIN counted AS r ON r.lang = c.lang AND r.phrase = c.rest),
+weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(words[starts:starts + part - 1], ' ') AS phrase, f AS around
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS starts
+        FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(2, size)) AS part FROM counted WHERE size > 2) AS p) AS q),
+kept AS (SELECT w.* FROM weakest AS w WHERE NOT EXISTS (
+  SELECT 1 FROM inside AS i WHERE i.lang = w.lang AND i.phrase = w.phrase AND 100 * i.around >= 100 * w.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
 # Trained models, merges and components have no SQL here; tests/llm compares those by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op5_passages": _PASSAGES,
     "op9_decontamination": _CONTAMINATION,
     "op10_search": _SEARCH,
+    "op13_collocations": _COLLOCATIONS,
 }
