@@ -154,13 +154,13 @@ FROM scored QUALIFY rank <= 10
 """
 
 _COLLOCATIONS = r"""
-WITH pieces AS (
+WITH pieces AS MATERIALIZED (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
         FROM documents) AS cut),
 totals AS (SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang),
-counted AS (
+counted AS MATERIALIZED (
   SELECT lang, array_to_string(words[starts:starts + size - 1], ' ') AS phrase, size, CAST(count(*) AS HUGEINT) AS f
   FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS starts
         FROM pieces, (SELECT unnest(range(1, 6)) AS size) AS sizes WHERE len(words) >= size) AS s
@@ -168,7 +168,7 @@ counted AS (
 cuts AS (
   SELECT lang, phrase, f, size, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS rest
   FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM counted WHERE size > 1) AS c),
-scores AS (
+scores AS MATERIALIZED (
   SELECT c.lang, c.phrase, c.size, c.f AS a, l.f AS l, r.f AS r, n, k, (1000 * c.f * CAST(n AS HUGEINT)) // (l.f * r.f) AS score
   FROM cuts AS c JOIN totals USING (lang)
   JOIN counted AS l ON l.lang = c.lang AND l.phrase = c.head JOIN counted AS r ON r.lang = c.lang AND r.phrase = c.rest),
