@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm import alignment, bpe, collocations, mtree, near, pages, passages, quality, secrets, suffixes, toxicity, urls
+from shipflux.llm import alignment, bpe, collocations, mtree, near, pages, passages, quality, secrets, suffixes, toxicity, urls, warc
 from shipflux.llm.common import table
+from shipflux.session import staged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -77,6 +78,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages say of each page's payload."""
+    pages = table(spark, sf_dir, "pages")
+    records = staged(warc.read(warc.write(pages)), "warc-records")
+    captures = warc.payload_facts(warc.assemble(records))
+    id_type = pages.schema["page_id"].dataType
+    return captures.select(
+        warc.first_fields(F.col("metadata"))["id"].cast(id_type).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("record.type").alias("record_type"),
+        F.col("same_payload.fields")["id"].cast(id_type).alias("refers_to"),
+    )
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of the two tokenizers' tokens in every document."""
     files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -99,6 +115,7 @@ QUERIES = {
     "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
     "op10_search": op10_search,
+    "op11_warc": op11_warc,
     "op12_alignment": op12_alignment,
     "op13_collocations": op13_collocations,
 }
@@ -153,6 +170,20 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 10
 """
 
+_WARC = """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS digits FROM pages),
+spelled AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST(((CAST('0x' || substr(digits, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT)) >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '')
+    AS payload_digest
+  FROM hashed),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM spelled GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM spelled JOIN firsts USING (payload_digest)
+"""
+
 _COLLOCATIONS = r"""
 WITH pieces AS MATERIALIZED (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
@@ -189,5 +220,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_passages": _PASSAGES,
     "op9_decontamination": _CONTAMINATION,
     "op10_search": _SEARCH,
+    "op11_warc": _WARC,
     "op13_collocations": _COLLOCATIONS,
 }
