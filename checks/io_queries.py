@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.queries import (
+    SEQUENCE,
+    VARIABLE_KEYS,
     fact_inputs,
     full_report,
     lookups,
+    moment,
     query,
     steady,
     text,
@@ -38,18 +41,18 @@ def write_drop(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").csv(folder, sep=";", header=True, emptyValue="")
 
 
-def ingest_drops(spark: SparkSession, kind: str, parts: list[DataFrame], build=None) -> DataFrame:
+def ingest_drops(spark: SparkSession, kind: str, parts: list[DataFrame], build=None, keys=()) -> DataFrame:
     """Deliver the parts one after the other, with an ingest run after each.
 
-    Returns the bronze table, or with `build` the silver table that follows it.
+    Returns the bronze table, or with `build` the silver table of these keys that follows it.
     """
     base = work_folder(spark, f"ingest-{kind}")
     for part in parts:
         write_drop(drop_rows(kind, part), f"{base}/drop")
         ingest.ingest(spark, kind, f"{base}/drop", f"{base}/bronze", f"{base}/checkpoint")
         if build:
-            ingest.follow(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver-checkpoint", build)
-    return spark.read.parquet(f"{base}/{'silver' if build else 'bronze'}")
+            ingest.follow(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver-checkpoint", build, keys)
+    return ingest.followed(spark, f"{base}/silver") if build else spark.read.parquet(f"{base}/bronze")
 
 
 @query
@@ -67,11 +70,33 @@ def ingest_vessel_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = rows.withColumn("vessel_type", F.concat(F.lit("Old "), "vessel_type"))
     names = ("statcode5", "vessel_type", "bi_ingested_timestamp")
     silver = ingest_drops(
-        spark, "vessel_type", [renamed, rows], lambda bronze: scd.scd1(bronze.select(*names), names[:1], names[2])
+        spark, "vessel_type", [renamed, rows], lambda past: scd.scd1(past.select(*names), names[:1], names[2]), names[:1]
     )
     return silver.select("statcode5", F.nullif("vessel_type", F.lit("")).alias("vessel_type"))
 
 
+@query
+def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries out of order, the last with rows of the first again; each updates the versions of its keys."""
+    base = work_folder(spark, "stream-scd2")
+    rows = derive(spark, sf_dir, "deliveries")
+    third = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    for part in (third == 2, third == 0, third != 0):
+        rows.filter(part).write.mode("append").parquet(f"{base}/bronze")
+        ingest.follow(
+            spark,
+            f"{base}/bronze",
+            f"{base}/silver",
+            f"{base}/checkpoint",
+            lambda past: scd.scd2(past, VARIABLE_KEYS, SEQUENCE),
+            VARIABLE_KEYS,
+            scd.type_variables,
+        )
+    return ingest.followed(spark, f"{base}/silver").select(
+        "variable", text("start_date"), text("end_date"), "value", moment("__START_AT"), moment("__END_AT")
+    )
+
+
 @query
 def ingest_aux_boiler(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = given(spark, sf_dir, "bins_raw")

@@ -95,6 +95,7 @@ FINAL["scd2"] = f"""
 SELECT variable, {text('start_date')}, {text('end_date')}, value, {moment('start_at', '"__START_AT"')},
        {moment('end_at', '"__END_AT"')} FROM versions
 """
+FINAL["stream_scd2"] = FINAL["scd2"]
 PARTS["latest"] = first_row("typed", "variable", "seq DESC, value, start_date, end_date")
 FINAL["scd1"] = f"""
 SELECT variable, {text('start_date')}, {text('end_date')}, value, {moment('seq', 'bi_ingested_timestamp')} FROM latest

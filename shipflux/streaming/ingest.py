@@ -1,4 +1,4 @@
-"""Streaming ingest of CSV drops into append-only bronze tables.
+"""Streaming ingest of CSV drops into append-only bronze tables, and the silver tables that follow these.
 
 A run takes the files that arrived since the last one and stops. The checkpoint
 remembers the files, so a restart neither skips nor repeats any.
@@ -6,9 +6,10 @@ remembers the files, so a restart neither skips nor repeats any.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -69,24 +70,80 @@ def ingest(spark: SparkSession, kind: str, path: str, table: str, checkpoint: st
     return run_once(stream.transform(typing) if typing else stream, table, checkpoint)
 
 
+# Buckets a followed table and its history are cut into by a hash of the key.
+BUCKETS = 64
+# Tasks that may share a bucket, by a hash of whole rows: a busy key is spread over them.
+SPREAD = 8
+BUCKET, DELIVERY = "key_bucket", "delivery"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def replace_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace exactly the partitions that `rows` hold, each by a few files."""
+    by_partition = rows.repartition(*partitions, F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)))
+    by_partition = by_partition.sortWithinPartitions(*partitions)
+    writer = by_partition.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
+def take_delivery(
+    rows: DataFrame, label: str, silver: str, build: Callable[[DataFrame], DataFrame], keys: Sequence[str], buckets: int
+) -> None:
+    """Bring a silver table up to date with new rows; only the buckets of their keys are read and replaced.
+
+    The rows are kept in a history beside the table, in a partition of their own for
+    each bucket and `label`. A label that comes again replaces what it wrote, and the
+    touched buckets are built from history alone, so a delivery that failed half-way
+    is mended by being taken again.
+    """
+    spark, history = rows.sparkSession, f"{silver}_history"
+    labelled = rows.withColumns({BUCKET: key_bucket(keys, buckets), DELIVERY: F.lit(label)})
+    replace_partitions(labelled, history, BUCKET, DELIVERY)
+    kept = spark.read.parquet(history)
+    touched = kept.filter(F.col(DELIVERY) == label).select(BUCKET).distinct().collect()
+    if touched:
+        past = kept.filter(F.col(BUCKET).isin([row[BUCKET] for row in touched])).drop(BUCKET, DELIVERY)
+        replace_partitions(build(past).withColumn(BUCKET, key_bucket(keys, buckets)), silver, BUCKET)
+
+
 def follow(
-    spark: SparkSession, bronze: str, silver: str, checkpoint: str, build: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    build: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Rebuild a silver table whenever its bronze table has new rows, then stop.
+    """Take what is new in a bronze table into the silver table that follows it, then stop.
 
-    The rebuild reads bronze as a whole and replaces silver, so a batch that is
-    repeated after a failure changes nothing.
+    `prepare` types the new rows, before they are kept; `build` makes silver rows from
+    all kept rows of whole keys, such as `scd1` or `scd2`, and hands the keys on.
+    Rows that come late find their place, since all earlier rows of their key are at
+    hand; rows that come twice add nothing `build` would not drop.
     """
-    def rebuild(batch: DataFrame, number: int) -> None:
-        build(batch.sparkSession.read.parquet(bronze)).write.mode("overwrite").parquet(silver)
+    run = hashlib.md5(checkpoint.encode(), usedforsecurity=False).hexdigest()
+
+    def take(batch: DataFrame, number: int) -> None:
+        rows = prepare(batch) if prepare else batch
+        take_delivery(rows, f"{run}-{number}", silver, build, keys, buckets)
 
     query = (
         spark.readStream.schema(spark.read.parquet(bronze).schema)
         .parquet(bronze)
-        .writeStream.foreachBatch(rebuild)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     return query
+
+
+def followed(spark: SparkSession, silver: str) -> DataFrame:
+    """A followed table as it stands."""
+    return spark.read.parquet(silver).drop(BUCKET)

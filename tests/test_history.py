@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from shipflux.session import work_folder
@@ -51,6 +53,63 @@ def test_one_bucket_gives_the_same_versions(spark):
     assert as_rows(found) == brute_force(rows)
 
 
+def followed_files(silver: str) -> dict[str, float]:
+    return {str(path): path.stat().st_mtime_ns for path in Path(silver).rglob("*.parquet")}
+
+
+def follow_variables(spark, base: str):
+    def build(past):
+        return scd.scd2(past, KEYS, SEQUENCE)
+
+    return ingest.follow(spark, f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint", build, KEYS, buckets=16)
+
+
+def test_followed_versions_of_late_and_repeated_rows(spark):
+    base = work_folder(spark, "follow")
+    rows = deliveries(5, 300)
+    for part in (rows[200:], rows[:100], rows[50:200]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/bronze")
+        follow_variables(spark, base)
+    assert as_rows(ingest.followed(spark, f"{base}/silver")) == brute_force(rows)
+
+
+def test_a_delivery_replaces_the_buckets_of_its_keys_only(spark):
+    base = work_folder(spark, "follow")
+    rows = deliveries(6, 200)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{base}/bronze")
+    follow_variables(spark, base)
+    before = followed_files(f"{base}/silver")
+    follow_variables(spark, base)
+    assert followed_files(f"{base}/silver") == before
+    late = [("v1", "2024-01-01", 7.0, dt.datetime(2023, 1, 1))]
+    spark.createDataFrame(late, SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/bronze")
+    follow_variables(spark, base)
+    after = followed_files(f"{base}/silver")
+    changed = {Path(name).parent.name for name, stamp in before.items() if after.get(name) != stamp}
+    assert len(changed) == 1 and len({Path(name).parent for name in before}) > 3
+    assert as_rows(ingest.followed(spark, f"{base}/silver")) == brute_force(rows + late)
+
+
+def test_a_delivery_that_failed_is_taken_again(spark):
+    """Its rows are kept once, whatever of it was already there."""
+    base = work_folder(spark, "follow")
+    rows = deliveries(7, 120)
+    frame = spark.createDataFrame(rows, SCHEMA)
+
+    def failing(past):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        ingest.take_delivery(frame, "first", f"{base}/silver", failing, KEYS, 8)
+    for _ in range(2):
+        ingest.take_delivery(frame, "first", f"{base}/silver", lambda past: scd.scd2(past, KEYS, SEQUENCE), KEYS, 8)
+    assert spark.read.parquet(f"{base}/silver_history").count() == 120
+    assert as_rows(ingest.followed(spark, f"{base}/silver")) == brute_force(rows)
+    nothing = spark.createDataFrame([], SCHEMA)
+    ingest.take_delivery(nothing, "second", f"{base}/silver", lambda past: scd.scd2(past, KEYS, SEQUENCE), KEYS, 8)
+    assert as_rows(ingest.followed(spark, f"{base}/silver")) == brute_force(rows)
+
+
 def test_refresh_of_changed_keys_equals_rebuild(spark):
     rows = deliveries(3, 200)
     old, batch = rows[:150], rows[150:170]
