@@ -29,6 +29,7 @@ BEST = 2_000
 # Counters of one summary, and n-grams a task adds up before it hands them on.
 CAPACITY = 500_000
 HELD = 6_000_000
+HELD_PHRASES = 500_000
 # Bytes of text that are cut into words together; a longer text is taken alone.
 CHUNK_BYTES = 4_000_000
 # Bits of the table of survivors: so many for each, and at most 2^30 (128 MB). A fuller table lets more through.
@@ -286,39 +287,49 @@ def survivor_table(found: list[DataFrame]) -> Survivors:
     return table
 
 
+def chunk_phrases(words: Words, lengths: list[int], table: Survivors, pairs: Survivors) -> Iterator[tuple[bytes, int, int]]:
+    """(phrase, words, count) of the surviving n-grams of a chunk; hashes only tell which may be equal."""
+    for length in lengths:
+        values, whole = ngram_hashes(words, length)
+        if length > 2:
+            whole = in_runs(words, pairs, length, whole)
+        places = np.flatnonzero(whole & table.hold(values))
+        _, first, owner = np.unique(values[places], return_index=True, return_inverse=True)
+        # Equal hashes of other words than the first one's are counted on their own.
+        same = np.ones(len(places), dtype=bool)
+        for i in range(length):
+            same &= words.ids[places + i] == words.ids[places[first][owner] + i]
+        shown = np.concatenate([places[first], places[~same]])
+        counts = [*np.bincount(owner[same], minlength=len(first)).tolist(), *[1] * int((~same).sum())]
+        ids = words.ids[shown[:, None] + np.arange(length)].tolist()
+        for row, count in zip(ids, counts, strict=True):
+            yield b" ".join([words.vocabulary[i] for i in row]), length, count
+
+
 def exact_counts(lengths: list[int], shared_table, shared_pairs):
-    """(lang, phrase, words, count): occurrences of surviving n-grams; a null phrase counts all words."""
+    """(lang, phrase, words, count): a task's occurrences of surviving n-grams; a null phrase counts all words."""
+
+    def rows(held: dict[tuple[str, bytes | None, int], int]) -> pa.RecordBatch:
+        lang, phrase, size = zip(*held, strict=True) if held else ((), (), ())
+        arrays = [
+            pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), pa.array(size, pa.int32()),
+            pa.array(held.values(), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "words", "count"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, pairs = shared_table.value, shared_pairs.value
+        held: dict[tuple[str, bytes | None, int], int] = {}
         for lang, texts in chunks(batches):
             words = words_of(texts, lang)
-            phrases: list[bytes | None] = [None]
-            sizes, counts = [0], [len(words)]
-            for length in lengths:
-                values, whole = ngram_hashes(words, length)
-                if length > 2:
-                    whole = in_runs(words, pairs, length, whole)
-                places = np.flatnonzero(whole & table.hold(values))
-                _, first, owner = np.unique(values[places], return_index=True, return_inverse=True)
-                # Equal hashes of other words than the first one's are counted on their own.
-                same = np.ones(len(places), dtype=bool)
-                for i in range(length):
-                    same &= words.ids[places + i] == words.ids[places[first][owner] + i]
-                shown = np.concatenate([places[first], places[~same]])
-                counts.extend([*np.bincount(owner[same], minlength=len(first)).tolist(), *[1] * int((~same).sum())])
-                sizes.extend([length] * len(shown))
-                ids = words.ids[shown[:, None] + np.arange(length)].tolist()
-                phrases.extend(b" ".join([words.vocabulary[i] for i in row]) for row in ids)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(sizes), pa.string()),
-                    pa.array(phrases, pa.binary()),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(counts, pa.int64()),
-                ],
-                names=["lang", "phrase", "words", "count"],
-            )
+            held[lang, None, 0] = held.get((lang, None, 0), 0) + len(words)
+            for phrase, size, count in chunk_phrases(words, lengths, table, pairs):
+                key = lang, phrase, size
+                held[key] = held.get(key, 0) + count
+            if len(held) >= HELD_PHRASES:
+                yield rows(held)
+                held = {}
+        yield rows(held)
 
     return run
 

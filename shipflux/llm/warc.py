@@ -442,7 +442,8 @@ def read(stretches: DataFrame, payload: bool = False) -> DataFrame:
     is left out silently. No stretches, no records.
     """
     share(stretches.sparkSession, None)
-    dealt = stretches.select("path", "start", "end").repartition("path", "start")
+    # Rows are tiny and stand for megabytes each, so the number of tasks is fixed by their number.
+    dealt = stretches.select("path", "start", "end").repartition(max(1, 2 * _rows(stretches)), "path", "start")
     return dealt.mapInArrow(reader(payload, 8 * BLOCK), RECORD)
 
 
