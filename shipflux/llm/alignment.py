@@ -114,9 +114,11 @@ class Tokenizers:
             return None
         whole = b" " + text
         a, b = self.bpe.encode_ordinary(f" {plain}"), self.pieces.encode(plain)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+        a_ids = np.array(a, dtype=np.int64)
+        # Merges only join neighbouring bytes, so A's tokens spell the bytes of the text if they have as many.
+        if self.tables["a_length"][a_ids].sum() != len(whole) or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return None
-        return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        return a_ids, np.array(b, dtype=np.int64)
 
 
 @dataclass
@@ -143,7 +145,7 @@ def aligned(a_ends: np.ndarray, b_ends: np.ndarray) -> Alignment:
     a_cuts = np.fromiter(map(a_index.__getitem__, shared), dtype=np.int64, count=len(shared))
     b_cuts = np.fromiter(map(b_index.__getitem__, shared), dtype=np.int64, count=len(shared))
     # A group's links begin with its first tokens and step on at every end, on both sides.
-    ends = np.fromiter(sorted(a_index.keys() | b_index.keys()), dtype=np.int64)
+    ends = np.union1d(a_ends, b_ends)
     return Alignment(a_cuts, b_cuts, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends))
 
 
@@ -170,20 +172,24 @@ def linker(shared, groups: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers: Tokenizers = shared.value
         tables = tokenizers.tables
+
+        def row(text: bytes | None) -> tuple:
+            ids = tokenizers.encode(text)
+            if ids is None:
+                return (0, 0, 0, 0, "", [], [], "")
+            a, b = ids
+            found = aligned(np.cumsum(tables["a_length"][a]), np.cumsum(tables["b_length"][b]))
+            spelled = written_groups(a, b, found, tables)
+            pairs, times = np.unique(a[found.a_linked] * PAIR_BASE + b[found.b_linked], return_counts=True)
+            digest = hashlib.sha256(spelled).hexdigest()
+            sizes = (len(a), len(b), len(found.a_cuts), len(found.a_linked))
+            return (*sizes, digest, pairs, times.astype(np.int32), spelled.decode() if groups else "")
+
         for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                ids = tokenizers.encode(text.as_py())
-                if ids is None:
-                    rows.append((0, 0, 0, 0, "", [], [], ""))
-                    continue
-                a, b = ids
-                found = aligned(np.cumsum(tables["a_length"][a]), np.cumsum(tables["b_length"][b]))
-                spelled = written_groups(a, b, found, tables)
-                pairs, times = np.unique(a[found.a_linked] * PAIR_BASE + b[found.b_linked], return_counts=True)
-                digest = hashlib.sha256(spelled).hexdigest()
-                sizes = (len(a), len(b), len(found.a_cuts), len(found.a_linked))
-                rows.append((*sizes, digest, pairs, times.astype(np.int32), spelled.decode() if groups else ""))
+            texts = batch.column("text").to_pylist()
+            # Copies of a text within a batch are aligned once.
+            known = {text: row(text) for text in set(texts)}
+            rows = [known[text] for text in texts]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
             kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
