@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +16,15 @@ from checks.queries import (
     moment,
     query,
     steady,
+    steady_sums,
     text,
+    written_report,
 )
 from checks.spark_inputs import derive, given, positions
 from shipflux import config, schemas
 from shipflux.functions.cleaning import DATE_PATTERN
 from shipflux.operators import sinks
-from shipflux.plans import jobs, points
+from shipflux.plans import jobs, points, views
 from shipflux.session import work_folder
 from shipflux.sources import csv_drops
 from shipflux.streaming import ingest, scd
@@ -157,7 +161,7 @@ def fact_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = all_pending(spark, sf_dir)
     for _ in range(2):
         log = jobs.run_fact_job(
-            positions(spark, sf_dir), log, fact_inputs(spark, sf_dir), path, max_dates=DATES_PER_RANGE, spread=1
+            positions(spark, sf_dir), log, fact_inputs(spark, sf_dir), path, max_dates=DATES_PER_RANGE, spread=1, monthly=True
         )
         log = log.withColumn("emission", F.when(F.col("date_utc") < AGAIN, F.col("emission")))
     return by_date(spark.read.parquet(path))
@@ -171,7 +175,7 @@ def version_facts(spark: SparkSession, sf_dir: str, version: str = config.VERSIO
 def purge_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "facts")
     for version in (config.VERSION, "v0.9"):
-        sinks.write_facts(version_facts(spark, sf_dir, version), path, 1)
+        sinks.write_facts(version_facts(spark, sf_dir, version), path, 1, monthly=True)
     sinks.purge_version(spark, path, "v0.9")
     return by_date(spark.read.parquet(path))
 
@@ -180,19 +184,52 @@ def purge_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts scattered over many small files, then rewritten; the rows stay the same."""
     path = work_folder(spark, "facts")
-    dated = version_facts(spark, sf_dir).withColumn("date_utc", F.to_date("date_time_utc"))
-    dated.repartition(2).write.partitionBy(*sinks.FACT_PARTITIONS).parquet(path)
-    sinks.compact(spark, path, sinks.FACT_PARTITIONS, ("mmsi", "date_time_utc"), spread=1)
+    day = F.to_date("date_time_utc")
+    dated = version_facts(spark, sf_dir).withColumns({"date_utc": day, "year_month": F.date_format(day, "yyyy-MM")})
+    dated.repartition(4).write.partitionBy(*sinks.MONTHLY_FACT_PARTITIONS).parquet(path)
+    sinks.compact(spark, path, sinks.MONTHLY_FACT_PARTITIONS, ("date_utc", "mmsi", "date_time_utc"), spread=1)
     return by_date(spark.read.parquet(path))
 
 
+def by_month(table: DataFrame) -> DataFrame:
+    months = table.groupBy("year_month", "version").agg(
+        F.count("*").alias("n_rows"), F.sum("sum_seconds").alias("sum_seconds"), F.sum("sum_co2").alias("sum_co2")
+    )
+    return months.select("year_month", "version", "n_rows", "sum_seconds", steady("sum_co2", 4))
+
+
 @query
 def report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report, written twice: the months are replaced, not added."""
     path = work_folder(spark, "report")
     for _ in range(2):
         sinks.write_report(sinks.with_processing_time(full_report(spark, sf_dir)), path)
-    months = spark.read.parquet(path).groupBy("year_month", "version").agg(
-        F.count("*").alias("n_rows"), F.sum("sum_seconds").alias("sum_seconds"), F.sum("sum_co2").alias("sum_co2")
-    )
-    return months.select("year_month", "version", "n_rows", "sum_seconds", steady("sum_co2", 4))
+    return by_month(spark.read.parquet(path))
+
+
+def registered_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A created view over a report on disk, read by its name alone."""
+    path = work_folder(spark, "report")
+    sinks.write_report(written_report(spark, sf_dir), path)
+    prefix = f"shipflux_{uuid.uuid4().hex}_"
+    views.create_views(spark, f"parquet.`{path}`", prefix)
+    return steady_sums(spark.sql(f"SELECT * FROM {prefix}{name}"), 3)
+
+
+@query
+def registered_report_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registered_view(spark, sf_dir, "report")
+
+
+@query
+def registered_top_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registered_view(spark, sf_dir, "top_routes")
+
+
+@query
+def purge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in two versions, of which one is removed."""
+    path = work_folder(spark, "report")
+    sinks.write_report(written_report(spark, sf_dir), path)
+    sinks.purge_version(spark, path, "v0.9")
+    return by_month(spark.read.parquet(path))

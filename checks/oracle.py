@@ -977,6 +977,14 @@ SELECT * REPLACE ({_steady_sums((*_sums, 'co2e_route_total'), 3)}) FROM (
   FROM sails AS s JOIN ranked_routes AS r ON r.municipality_voyage_route = s.municipality_voyage_route
   WHERE rank <= 100 GROUP BY ALL) AS t
 """
+# The registered views are read today, when every month of the data is over.
+_every_month = _published.replace(f" AND year_month < '{THIS_MONTH}'", "")
+FINAL["registered_report_view"] = FINAL["report_view"].replace(_published, _every_month)
+PARTS["all_sails"] = PARTS["sails"].replace(_published, _every_month)
+PARTS["all_ranked_routes"] = PARTS["ranked_routes"].replace("FROM sails", "FROM all_sails")
+FINAL["registered_top_routes"] = (
+    FINAL["top_routes"].replace("FROM sails", "FROM all_sails").replace("JOIN ranked_routes", "JOIN all_ranked_routes")
+)
 FINAL["monthly_vessel_co2"] = f"""
 SELECT vessel_id, strftime(date_time_utc, '%Y-%m') AS year_month, {steady('sum(co2_tonnes)', 'co2_tonnes', 5)},
        {steady('sum(main_engine_kwh)', 'main_engine_kwh', 5)} FROM fact GROUP BY 1, 2
@@ -1052,7 +1060,7 @@ FROM fact GROUP BY fact.date_utc, version
 """
 for _name in ("fact_write", "purge_version", "compact"):
     FINAL[_name] = _by_date
-FINAL["report_write"] = f"""
+FINAL["purge_report"] = FINAL["report_write"] = f"""
 SELECT year_month, version, count(*) AS n_rows, CAST(sum(sum_seconds) AS BIGINT) AS sum_seconds,
        {steady('sum(sum_co2)', 'sum_co2', 4)} FROM report GROUP BY year_month, version
 """

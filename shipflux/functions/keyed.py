@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,16 +39,22 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
-_measured: dict[tuple[str, int], int] = {}
+_measured: dict[tuple, int] = {}
+
+
+def plan_state(df: DataFrame) -> tuple:
+    """What a plan reads, besides its steps: a table that is written again has other files."""
+    files = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+    return df.sparkSession.sparkContext.applicationId, df.semanticHash(), df.schema.json(), files
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of all rows in memory, worked out once per plan and application.
+    """Size of all rows in memory, worked out once per plan and state of its files.
 
     File sizes say little about it: a column of few distinct names is almost free on
     disk. The measure is a distributed sum that returns one number.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    key = plan_state(df)
     if key not in _measured:
         _measured[key] = df.agg(F.sum(row_bytes(df).cast("long"))).first()[0] or 0
     return _measured[key]

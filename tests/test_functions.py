@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shipflux.functions.cells import parent_cell
 from shipflux.functions.cleaning import day_month_year, decimal_comma, spaced_int
-from shipflux.functions.keyed import keep_first, small_side
+from shipflux.functions.keyed import keep_first, measured_bytes, small_side
 from shipflux.functions.rules import Rule, bands, decide
 from shipflux.operators import parameters, register
 
@@ -67,3 +67,14 @@ def test_side_above_the_limit_is_not_broadcast(spark):
 
     assert "broadcast" in logical(hinted) and "broadcast" not in logical(unhinted)
     assert hinted.count() == unhinted.count() == 100
+
+
+def test_a_side_that_is_written_again_is_measured_again(spark, tmp_path):
+    """The measure belongs to the files, not to their folder."""
+    path = str(tmp_path / "side")
+    spark.range(10).write.parquet(path)
+    small = measured_bytes(spark.read.parquet(path))
+    spark.range(100_000).write.mode("overwrite").parquet(path)
+    assert measured_bytes(spark.read.parquet(path)) == 10_000 * small
+    joined = spark.range(5).join(small_side(spark.read.parquet(path), limit=1000), "id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
