@@ -14,14 +14,15 @@ from shipflux.session import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; every query reads one first, so workers know this package before they run."""
+    tell_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def share(spark: SparkSession, value: Any):
-    """Broadcast a value of bounded size to functions that run in Python workers.
+def tell_workers(spark: SparkSession) -> None:
+    """The workers of a local master read this package where the driver does.
 
-    The workers of a local master read this package where the driver does; on a
-    cluster it is installed, or sent along with --py-files.
+    On a cluster it is installed, or sent along with --py-files.
     """
     context = spark.sparkContext
     if context.master.startswith("local"):
@@ -29,7 +30,12 @@ def share(spark: SparkSession, value: Any):
         paths = context.environment.get("PYTHONPATH", "").split(":")
         if root not in paths:
             context.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
-    return context.broadcast(value)
+
+
+def share(spark: SparkSession, value: Any):
+    """Broadcast a value of bounded size to functions that run in Python workers."""
+    tell_workers(spark)
+    return spark.sparkContext.broadcast(value)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
