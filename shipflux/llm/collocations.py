@@ -11,6 +11,7 @@ can hold a longer phrase that is frequent enough.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,8 @@ BEST = 2_000
 CAPACITY = 500_000
 HELD = 6_000_000
 HELD_PHRASES = 500_000
+# Surviving n-grams of one hash partition of the exact counts.
+PART_PHRASES = 20_000
 # Bytes of text that are cut into words together; a longer text is taken alone.
 CHUNK_BYTES = 4_000_000
 # Bits of the table of survivors: so many for each, and at most 2^30 (128 MB). A fuller table lets more through.
@@ -306,16 +309,23 @@ def chunk_phrases(words: Words, lengths: list[int], table: Survivors, pairs: Sur
             yield b" ".join([words.vocabulary[i] for i in row]), length, count
 
 
-def exact_counts(lengths: list[int], shared_table, shared_pairs):
-    """(lang, phrase, words, count): a task's occurrences of surviving n-grams; a null phrase counts all words."""
+# A task's partial counts of one hash partition; a null phrase counts all words.
+PARTIAL = "part int, lang array<string>, phrase array<binary>, words array<int>, count array<long>"
+
+
+def partial_counts(lengths: list[int], parts: int, shared_table, shared_pairs):
+    """A task's occurrences of surviving n-grams, added up: one row of PARTIAL for each hash partition."""
 
     def rows(held: dict[tuple[str, bytes | None, int], int]) -> pa.RecordBatch:
-        lang, phrase, size = zip(*held, strict=True) if held else ((), (), ())
-        arrays = [
-            pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), pa.array(size, pa.int32()),
-            pa.array(held.values(), pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "words", "count"])
+        by_part: dict[int, list[tuple]] = {}
+        for key, count in held.items():
+            by_part.setdefault(zlib.crc32(key[1] or b"") * parts >> 32, []).append((*key, count))
+        columns = [[list(c) for c in zip(*entries, strict=True)] for entries in by_part.values()]
+        kinds = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+        lists = [pa.array([c[i] for c in columns], pa.list_(kind)) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(by_part.keys(), pa.int32()), *lists], names=["part", "lang", "phrase", "words", "count"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, pairs = shared_table.value, shared_pairs.value
@@ -334,6 +344,32 @@ def exact_counts(lengths: list[int], shared_table, shared_pairs):
     return run
 
 
+def exact_counts(threshold: int):
+    """(lang, phrase, words, f) of what is frequent, and the numbers of words, of PARTIAL rows ordered by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = None, {}
+
+        def frequent() -> pa.RecordBatch:
+            kept = [(*key, f) for key, f in sums.items() if f >= threshold or key[1] is None]
+            names, kinds = ["lang", "phrase", "words", "f"], [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+            columns = zip(*kept, strict=True) if kept else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                number, *columns = (c[at].as_py() for c in batch.columns)
+                if number != part:
+                    yield frequent()
+                    part, sums = number, {}
+                for *key, count in zip(*columns, strict=True):
+                    entry = tuple(key)
+                    sums[entry] = sums.get(entry, 0) + count
+        yield frequent()
+
+    return run
+
+
 def phrase_counts(
     docs: DataFrame,
     text: str = "text",
@@ -366,11 +402,11 @@ def phrase_counts(
         found.append(possibly_frequent(rows, longer, len(longer) * words, threshold, capacity, pairs))
     table = survivor_table(found)
     lengths = list(range(1, longest + 1))
-    counted = rows.mapInArrow(
-        exact_counts(lengths, share(spark, table), share(spark, pairs)), "lang string, phrase binary, words int, count long"
-    )
-    sums = counted.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "words").agg(F.sum("count").alias("f"))
-    return staged(sums.filter((F.col("f") >= threshold) | F.col("phrase").isNull()), "phrases")
+    parts = max(1, -(-sum(f.count() for f in found) // PART_PHRASES))
+    partial = rows.mapInArrow(partial_counts(lengths, parts, share(spark, table), share(spark, pairs)), PARTIAL)
+    dealt = partial.repartition(parts, "part").sortWithinPartitions("part")
+    counted = dealt.mapInArrow(exact_counts(threshold), "lang string, phrase binary, words int, f long")
+    return staged(counted.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
 
 
 def part(words: Column, start: Column | int, length: Column | int) -> Column:

@@ -263,9 +263,9 @@ def invented(seed, texts=300):
     return [*rows, ("en", None), (None, ""), ("de", " . , "), ("en", "ab c dé " * 5000), ("en", "f f f f f f f f f")]
 
 
-@pytest.mark.parametrize("capacity", [collocations.CAPACITY, 7])
+@pytest.mark.parametrize("capacity", [collocations.CAPACITY, 200])
 def test_collocations_against_plain_counting(spark, capacity):
-    """With few counters there are hundreds of hash partitions, and summaries that give up counters."""
+    """With few counters there are many hash partitions, and summaries that give up counters."""
     rows = invented(5)
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "lang string, text string, count int, phrase string")
     found = collocations.collocations(frame.repartition(3), threshold=12, best=40, capacity=capacity)
