@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shipflux.session import staged
+
 # A subtree is a template of a host if so many of its pages, and this share of them, have it.
 MIN_PAGES = 5
 MIN_SHARE = 0.3
@@ -28,6 +30,9 @@ MANY_ARTICLES = 50
 LONG = 20
 # A task hands its counts on when it holds so many.
 HELD_COUNTS = 500_000
+# Template lists of all hosts are broadcast up to so many bytes; beyond, a host's pages meet them in so many tasks.
+SMALL_LISTS = 32 << 20
+SALTS = 64
 
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +46,12 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"},
 }
+# These end an open paragraph, unless one of the second list lies between.
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form"
+    " h1 h2 h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p plaintext pre search section summary table ul".split()
+)
+P_SCOPE = frozenset("applet button caption html marquee object table td template th".split())
 SCOPES = frozenset("ul ol dl table select article section main aside nav div body html td th blockquote".split())
 
 # Inside an article these go only with a larger block: alike cells, items and headings are no templates.
@@ -51,6 +62,8 @@ FURNITURE = frozenset(
     "head script style noscript template nav header footer aside form button input select textarea option iframe"
     " svg canvas object embed dialog menu audio video map title".split()
 )
+# Elements that cannot hold the page's article, whatever else it says; a form or a named block may wrap all of it.
+CLOSED = FURNITURE - {"form"}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar form".split())
 # Words of class and id names that mark furniture.
 MARKS = frozenset(
@@ -67,7 +80,7 @@ VALUE = r"""(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\t\n\f\r >"'][^\t\n\f\r >]
 NAME = r"([^\t\n\f\r />][^\t\n\f\r />=]*+)"
 ATTRIBUTE = re.compile(rf"{NAME}(?:{GAP}={GAP}{VALUE}?+)?+")
 PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\t\n\f\r />]*+)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\t\n\f\r />]*+)"
     rf"(?P<attributes>(?:[\t\n\f\r /]++|{ATTRIBUTE.pattern})*+)(?P<close>>|\Z)",
     re.DOTALL,
 )
@@ -132,6 +145,13 @@ def parse(source: str | None) -> Element:
                 while stack.pop().tag != tag:
                     pass
             continue
+        if tag in ENDS_P:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag == "p":
+                    del stack[depth:]
+                    break
+                if stack[depth].tag in P_SCOPE:
+                    break
         ends = CLOSES.get(tag, ())
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in ends:
@@ -167,18 +187,21 @@ def articles(root: Element) -> list[Element]:
 
 
 def outermost(root: Element) -> list[Element]:
-    for tag in ("article", "main"):
-        found, inside, barred = [], 0, 0
-        for node, begins in walk(root):
-            step = 1 if begins else -1
-            if node.furniture:
-                barred += step
-            if node.tag == tag and not barred:
-                if begins and not inside:
-                    found.append(node)
-                inside += step
-        if found:
-            return found
+    """The articles outside furniture, or else those that only forms and blocks with furniture's names or roles wrap."""
+    for wrapped in (False, True):
+        for tag in ("article", "main"):
+            found, inside, barred = [], 0, 0
+            for node, begins in walk(root):
+                step = 1 if begins else -1
+                fits = node.tag == tag and not node.furniture
+                if node.tag in CLOSED if wrapped else node.furniture:
+                    barred += step
+                if fits and not barred:
+                    if begins and not inside:
+                        found.append(node)
+                    inside += step
+            if found:
+                return found
     return []
 
 
@@ -350,20 +373,28 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
         )
         .filter((F.col("n") >= min_pages) | F.col("subtree").isNull() | ((F.col("n_articles") >= min_pages) & (apart >= 2)))
     )
-    size = F.max(F.when(F.col("subtree").isNull(), F.col("n"))).alias("pages")
-    entry = F.struct("subtree", F.coalesce("n", F.lit(0)).alias("n"), "n_articles", "long")
-    found = F.collect_list(F.when(F.col("subtree").isNotNull(), entry)).alias("found")
-    kept = F.filter(
-        "found",
-        lambda f: (F.greatest(f["n"], f["n_articles"]) >= F.col("pages") * min_share)
-        | (f["long"] & (f["n_articles"] >= MANY_ARTICLES)),
-    )
-    return (
-        counted.groupBy("host")
-        .agg(size, found)
-        .select("host", F.transform(kept, lambda f: f["subtree"]).alias("templates"))
-        .filter(F.size("templates") > 0)
-    )
+    counted = staged(counted, "subtrees")
+    # Only what recurs on the host is collected: the share comes first.
+    sizes = counted.filter("subtree IS NULL").select("host", F.col("n").alias("pages"))
+    often = F.greatest(F.coalesce("n", F.lit(0)), "n_articles") >= F.col("pages") * min_share
+    many = F.col("long") & (F.col("n_articles") >= MANY_ARTICLES)
+    kept = counted.filter("subtree IS NOT NULL").join(sizes, "host").filter(often | many)
+    return staged(kept.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
+
+
+def with_templates(rows: DataFrame, lists: DataFrame, small: int = SMALL_LISTS) -> DataFrame:
+    """`rows` with the templates of their host, or null.
+
+    Lists of at most `small` bytes, measured in the written table, are broadcast, so
+    no page is shuffled. Larger ones are repeated for every salt, and the pages of a
+    host meet them in as many tasks.
+    """
+    size = F.sum(F.length("host") * 4 + F.size("templates") * 8 + 64)
+    if (lists.agg(size).first()[0] or 0) <= small:
+        return rows.join(F.broadcast(lists), "host", "left")
+    salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted.hint("merge"), ["host", "salt"], "left").drop("salt")
 
 
 def extract(
@@ -397,5 +428,5 @@ def extract(
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(templates(rows), "host", "left").select("page_id", "url", "html", "templates")
+    joined = with_templates(rows, templates(rows)).select("page_id", "url", "html", "templates")
     return joined.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")

@@ -2,6 +2,7 @@
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -237,6 +238,73 @@ def test_pages_by_hand(spark):
     assert pages.extract(docs.filter("false"), urls.host_of).count() == 0
 
 
+WRAPPED = [
+    ("<article><p>one<!-->two</article>", "onetwo"),
+    ("<article><p>one<!--->two</article>", "onetwo"),
+    ("<article><p>one<!-- x --!>two<!-- y --> three</article>", "onetwo three"),
+    ('<article><p class="notice">n<p>real text</article>', "real text"),
+    ('<article><p class="notice">n<div>real text</div></article>', "real text"),
+    ("<article><p>a<table><tr><td><p>b</table>c</article>", "a b c"),
+    ("<form><article><p>whole page</p></article></form>", "whole page"),
+    ('<div class="layout with-sidebar"><article><p>in a layout</p></article></div>', "in a layout"),
+    ('<div id="page" class="header-fixed"><main><p>in main</p></main></div>', "in main"),
+    # An article outside furniture is the page's, and others stay out.
+    ('<article><p>own</p></article><div class="related"><article><p>other</p></article></div>', "own"),
+    ("<aside><article><p>teaser</p></article></aside>", ""),
+]
+
+
+def test_articles_in_wrappers_and_open_paragraphs():
+    for source, text in WRAPPED:
+        assert pages.main_text(source) == text, source
+
+
+def test_salted_and_broadcast_templates_agree(spark):
+    rows = [(i, f"http://{'a' if i % 3 else 'b'}.org/", f"{i}", "a.org" if i % 3 else "b.org") for i in range(60)]
+    rows += [(70, None, "x", None), (71, "http://z.org/", "y", "z.org")]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    lists = spark.createDataFrame([("a.org", [1, 2])], "host string, templates array<long>")
+    ways = [pages.with_templates(made, lists, small).select("page_id", "templates") for small in (0, 1 << 20)]
+    one, two = ({r.page_id: r.templates for r in way.collect()} for way in ways)
+    assert one == two and len(one) == 62 and one[1] == [1, 2] and one[0] is one[70] is one[71] is None
+    plan = ways[1]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_template_counts_equal_brute_force(spark):
+    given = table(spark, SF, "pages").select("url", "html").collect()
+    assert given
+    rows = [(urls_host(r.url), r.html) for r in given]
+    made = spark.createDataFrame(rows, "host string, html string")
+    found = {(r.host, t) for r in pages.templates(made).collect() for t in r.templates}
+    on, seen = Counter(), {}
+    for host, source in rows:
+        if host:
+            on[host] += 1
+            root = pages.parse(source)
+            for h in set(pages.subtree_hashes(root).values()):
+                seen.setdefault((host, h), [0, {}])[0] += 1
+            article, _, blocks = pages.article_blocks(root)
+            for b in blocks:
+                seen.setdefault((host, b.hash), [0, {}])[1].setdefault(article, []).append(b)
+    expected = set()
+    for (host, h), (n, arts) in seen.items():
+        rests = [[min(b.rest[k] for b in bs) for bs in arts.values()] for k in range(3)]
+        apart = sum(len(set(r)) >= len(arts) / 2 for r in rests) >= 2
+        inside = len(arts) >= pages.MIN_PAGES and apart
+        if not (n >= pages.MIN_PAGES or inside):
+            continue
+        long = any(b.long for bs in arts.values() for b in bs)
+        if max(n, len(arts)) >= on[host] * pages.MIN_SHARE or long and len(arts) >= pages.MANY_ARTICLES:
+            expected.add((host, h))
+    assert found == expected and expected
+
+
+def urls_host(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    return re.split("[/?#]", rest)[0].lower()
+
+
 def test_site_templates_go_but_articles_stay(spark):
     body = "<p>Welcome to our site</p><div><p>text {i}</p><span>by us</span></div>"
     same = "<div>Top</div><article><p>the same article</p></article>"
