@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shipflux import config
 from shipflux.functions.keyed import small_side
 from shipflux.operators.voyages import voyage_ends, with_voyages
-from shipflux.session import staged
 
 GASES = ("co2", "nmvoc", "co", "ch4", "n2o", "sox", "pm10", "pm2_5", "nox", "bc", "co2e")
 ZONE = "maritime_borders_norwegian_economic_zone"
@@ -65,27 +62,6 @@ def report_voyages(voyages: DataFrame, first: str | None = None, last: str | Non
     return in_dates(voyages, first, last).select(*VOYAGE_COLUMNS)
 
 
-def touched_voyages(voyages: DataFrame, first: str | None, last: str | None) -> DataFrame:
-    """All positions of the voyages that have one in the range, and the positions in the range without a voyage."""
-    if first is None and last is None:
-        return voyages
-    inside = in_dates(voyages, first, last)
-    named = inside.filter("sail_id IS NOT NULL").select("sail_id").distinct()
-    return voyages.join(named, "sail_id", "left_semi").unionByName(inside.filter("sail_id IS NULL").select(voyages.columns))
-
-
-def reach(voyages: DataFrame, first: str | None, last: str | None) -> tuple[str | None, str | None]:
-    """First and last date of the voyages that have a position in the range, and of the range itself."""
-    if first is None and last is None:
-        return None, None
-    day = F.to_date("date_time_utc")
-    ends = touched_voyages(voyages, first, last).agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    return (
-        first and (str(min(ends["first"], date.fromisoformat(first))) if ends["first"] else first),
-        last and (str(max(ends["last"], date.fromisoformat(last))) if ends["last"] else last),
-    )
-
-
 def join_voyages(facts: DataFrame, voyages: DataFrame) -> DataFrame:
     """Two large sides on (ship, time): a shuffle that spreads even a single busy ship."""
     return facts.join(voyages, ["mmsi", "date_time_utc"], "inner")
@@ -222,9 +198,17 @@ def report_measures() -> list[Column]:
     ]
 
 
+def report_rows(facts: DataFrame, voyages: DataFrame, vessels: DataFrame) -> DataFrame:
+    """Sums per raw key: all that the report needs of facts and voyages, month by month.
+
+    First and last time per voyage, ship and place are part of the rows, so the ends
+    of a voyage follow from the rows of all months it passes through.
+    """
+    return pre_aggregate(join_vessel_periods(join_voyages(facts, voyages), vessels))
+
+
 def emission_report(
-    facts: DataFrame,
-    voyages: DataFrame,
+    rows: DataFrame,
     vessels: DataFrame,
     ship_names: DataFrame,
     municipalities: DataFrame,
@@ -233,12 +217,11 @@ def emission_report(
     plans: DataFrame,
     months: tuple[str | None, str | None] | None = None,
 ) -> DataFrame:
-    """The 30-key report from facts and voyages; of the `months` between two dates, or all.
+    """The 30-key report from written `report_rows`; of the `months` between two dates, or all.
 
-    The aggregated rows are needed twice, for the voyage ends and for the report.
-    They are written once, so the pass over the facts is not repeated.
+    Voyage type and route come from all given rows, also outside the months. Rows
+    without a voyage form one voyage over all of them.
     """
-    rows = staged(pre_aggregate(join_vessel_periods(join_voyages(facts, voyages), vessels)), "report-rows")
     ends = voyage_ends(rows)
     if months:
         month = F.col("year_month")
