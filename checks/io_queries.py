@@ -11,10 +11,12 @@ from checks.queries import (
     SEQUENCE,
     VARIABLE_KEYS,
     fact_inputs,
+    facts,
     full_report,
     lookups,
     moment,
     query,
+    report_inputs,
     steady,
     steady_sums,
     text,
@@ -25,7 +27,7 @@ from shipflux import config, schemas
 from shipflux.functions.cleaning import DATE_PATTERN
 from shipflux.operators import sinks
 from shipflux.plans import jobs, points, views
-from shipflux.session import work_folder
+from shipflux.session import staged, work_folder
 from shipflux.sources import csv_drops
 from shipflux.streaming import ingest, scd
 
@@ -33,6 +35,9 @@ from shipflux.streaming import ingest, scd
 DATES_PER_RANGE = 900
 # Dates from here on are processed a second time.
 AGAIN = "1998-05-01"
+# Months of one report range, and the month that is completed last.
+MONTHS_PER_RANGE = 48
+LATE_MONTH = "1994-02-01"
 
 
 def drop_rows(kind: str, rows: DataFrame) -> DataFrame:
@@ -207,6 +212,26 @@ def report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_month(spark.read.parquet(path))
 
 
+@query
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report job over all months in several ranges; one month is completed after later ones are reported."""
+    held = staged(facts(spark, sf_dir), "facts")
+    start = F.trunc(F.to_date("date_time_utc"), "month")
+    months = held.select(start.alias("first")).distinct()
+    days = F.explode(F.sequence("first", F.last_day("first"), F.expr("interval 1 day"))).alias("date_utc")
+    log = staged(months.select(days, F.lit("2024-06-02").cast("timestamp").alias("emission")), "log")
+    late = F.col("date_utc").between(LATE_MONTH, F.last_day(F.lit(LATE_MONTH).cast("date")))
+    path, rows = work_folder(spark, "report"), work_folder(spark, "report-rows")
+    reported = spark.createDataFrame([], "year_month string, version string, bi_processing_time timestamp")
+    for done in (log.filter(~late), log):
+        jobs.run_report_job(
+            held, positions(spark, sf_dir), done, reported, report_inputs(spark, sf_dir), path, rows,
+            months_per_range=MONTHS_PER_RANGE,
+        )
+        reported = spark.read.parquet(path)
+    return by_month(spark.read.parquet(path))
+
+
 def registered_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A created view over a report on disk, read by its name alone."""
     path = work_folder(spark, "report")

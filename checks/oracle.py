@@ -1060,7 +1060,7 @@ FROM fact GROUP BY fact.date_utc, version
 """
 for _name in ("fact_write", "purge_version", "compact"):
     FINAL[_name] = _by_date
-FINAL["purge_report"] = FINAL["report_write"] = f"""
+FINAL["report_job"] = FINAL["purge_report"] = FINAL["report_write"] = f"""
 SELECT year_month, version, count(*) AS n_rows, CAST(sum(sum_seconds) AS BIGINT) AS sum_seconds,
        {steady('sum(sum_co2)', 'sum_co2', 4)} FROM report GROUP BY year_month, version
 """
