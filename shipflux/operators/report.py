@@ -156,24 +156,16 @@ def star_join(
     return rows.drop("_v", "_s", "_csid", "_no", "_county", "_zone", "_plan")
 
 
-def svalbard_override(rows: DataFrame) -> DataFrame:
-    """Waters around Svalbard count as a county and municipality of their own."""
-    named = rows.withColumn(
-        "county_name",
-        F.when(F.col(f"{ZONE}_id").isin(*config.SVALBARD_ZONES), "Svalbard").otherwise(F.col("county_name")),
-    )
-    svalbard = F.col("county_name") == "Svalbard"
+# What rows around Svalbard say instead of their own; fixed values.
+SVALBARD = {
+    "county_id": "-99", "county_name": "Svalbard", "municipality_id": "-9999", "municipality_name": "Svalbard",
+}
 
-    def replace(name: str, value: str) -> Column:
-        return F.when(svalbard, value).otherwise(F.col(name))
 
-    return named.withColumns(
-        {
-            "county_id": replace("county_id", "-99"),
-            "municipality_name": replace("municipality_name", "Svalbard"),
-            "municipality_id": replace("municipality_id", "-9999"),
-        }
-    )
+def svalbard_override(rows: DataFrame) -> DataFrame:
+    """Waters around Svalbard, by zone or by county, count as a county and municipality of their own."""
+    there = F.col(f"{ZONE}_id").isin(*config.SVALBARD_ZONES) | (F.col("county_name") == SVALBARD["county_name"])
+    return rows.withColumns({name: F.when(there, value).otherwise(F.col(name)) for name, value in SVALBARD.items()})
 
 
 REPORT_KEYS = (
