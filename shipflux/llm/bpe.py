@@ -1,30 +1,32 @@
 """Byte-level BPE: encode and decode with the ranks of a public vocabulary file.
 
-Inside expressions everything is a string, which Spark copies, compares and joins
-cheaply: bytes are the characters U+0000 to U+00FF (ISO-8859-1), an id is the
-character of that code point. Ids follow the ranks, so the lowest rank is the
-smallest string. With U+0000 after each id, UTF-16LE writes what is stored: ids as
-little-endian unsigned 32-bit integers.
+A text is cut by the pattern; the bytes of every distinct word are merged once, by a
+rank map, and looked up afterwards. Decoding joins the binary pieces of the ids. Ids
+are packed: four bytes each, little-endian.
+
+The merges run in Arrow batches. As expressions (higher-order functions over literal
+maps) they gave the same ids, but took more memory and time than README allows for.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import let, literal_array, lookup, lookup_table
+from shipflux.llm.common import share
 
-LATIN, WIDE = "ISO-8859-1", "UTF-16LE"
-# From here on code points are no characters of their own.
-MAX_TOKENS = 0xD800
-RANK_BUCKETS = 1 << 16
-# So many of the most frequent words are encoded once for all texts.
+# So many distinct words a task remembers; beyond it starts anew, so no word is ever left out.
 DICTIONARY_WORDS = 400_000
-DICTIONARY_BUCKETS = 1 << 17
+# Longer words are merged where they stand.
+REMEMBERED_CHARACTERS = 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -34,104 +36,89 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word: itself, if it is a token, or what is left when no two neighbours have a rank.
+
+    Neighbours of the lowest rank merge first, the leftmost of several. They wait in a
+    heap, so a word of n bytes takes n log n steps; pairs whose parts have gone are passed over.
+    """
+    if word in ranks:
+        return [ranks[word]]
+    size = len(word)
+    # By start: where the part ends, 0 if no part starts there; by end: where the part starts.
+    ends, starts = [*range(1, size + 1), 0], list(range(-1, size))
+    waiting = [(ranks[word[i : i + 2]], i, i + 2) for i in range(size - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(waiting)
+    while waiting:
+        _, at, end = heapq.heappop(waiting)
+        middle = ends[at]
+        if not 0 < middle < end or ends[middle] != end:
+            continue
+        ends[at], ends[middle], starts[end] = end, 0, at
+        before, after = starts[at], ends[end]
+        if at and (rank := ranks.get(word[before:end])) is not None:
+            heapq.heappush(waiting, (rank, before, end))
+        if after and (rank := ranks.get(word[at:after])) is not None:
+            heapq.heappush(waiting, (rank, at, after))
+    out, at = [], 0
+    while at < size:
+        out.append(ranks[word[at : ends[at]]])
+        at = ends[at]
+    return out
+
+
+class Words(dict):
+    """Packed ids by word; a word that is asked for the first time is merged."""
+
+    def __init__(self, ranks: dict[bytes, int], limit: int):
+        super().__init__()
+        self.ranks, self.limit = ranks, limit
+
+    def __missing__(self, word: str) -> bytes:
+        ids = b"".join(i.to_bytes(4, "little") for i in merged(word.encode(), self.ranks))
+        if self.limit and len(word) <= REMEMBERED_CHARACTERS:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 @dataclass(frozen=True)
 class Codec:
-    """Expressions over one vocabulary; ids are packed: binary, four bytes each, little-endian."""
+    """One vocabulary: the pattern that cuts texts, and the tokens by rank, sent to all workers once."""
 
     pattern: str
-    ranks: Column
-    pieces: Column
-
-    def words(self, text: Column) -> Column:
-        """The matches of the pattern. Java needs to be told that \\s means all white space."""
-        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + self.pattern), F.lit(0))
-
-    def rank(self, table: Column, piece: Column) -> Column:
-        """The id of a piece as a character, or null."""
-        return F.element_at(table, F.pmod(F.xxhash64(piece), F.size(table)).cast("int") + 1)[piece]
-
-    def word_ids(self, word: Column, ranks: Column) -> Column:
-        """The ids of one word, each followed by U+0000: itself, if it is a token, or what the merges leave."""
-        raw = F.decode(F.encode(word, "UTF-8"), LATIN)
-        return let(
-            raw,
-            lambda raw: let(
-                self.rank(ranks, raw),
-                lambda whole: F.when(whole.isNotNull(), F.concat(whole, F.lit("\0"))).otherwise(
-                    self.folded(raw, ranks)
-                ),
-            ),
-        )
-
-    def folded(self, raw: Column, table: Column) -> Column:
-        """Merge the neighbours of lowest rank, leftmost first, until no pair has a rank."""
-        none = F.array().cast("array<string>")
-
-        def rank(piece):
-            return self.rank(table, piece)
-
-        def ranked(parts):
-            count = F.size(parts) - 1
-            return F.zip_with(
-                F.slice(parts, 1, count), F.slice(parts, 2, count), lambda a, b: rank(F.concat(a, b))
-            )
-
-        def merge(state, at):
-            """Only the two pairs beside the new part need a new rank."""
-            parts, ranks = state["parts"], state["ranks"]
-            new = F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))
-            size = F.size(parts)
-            before = F.when(at > 1, F.array(rank(F.concat(F.element_at(parts, at - 1), new)))).otherwise(none)
-            after = F.when(
-                at + 1 < size, F.array(rank(F.concat(new, F.element_at(parts, at + 2))))
-            ).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(parts, 1, at - 1), F.array(new), F.slice(parts, at + 2, size)).alias("parts"),
-                F.concat(
-                    F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, size)
-                ).alias("ranks"),
-            )
-
-        def step(state, _):
-            at = F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int")
-            return let(at, lambda at: F.when(at.isNull(), state).otherwise(merge(state, at)))
-
-        def ids(state):
-            return F.concat(F.array_join(F.transform(state["parts"], rank), "\0"), F.lit("\0"))
-
-        parts = F.split(raw, "")
-        start = let(parts, lambda p: F.struct(p.alias("parts"), ranked(p).alias("ranks")))
-        return F.aggregate(F.slice(parts, 2, F.size(parts)), start, step, ids)
+    tokens: Broadcast
+
+    def encode(self, text: Column, dictionary: int) -> Column:
+        tokens = self.tokens
+        # The tokenizer reads \s as Unicode's White_Space, which `regex` is told by name.
+        pattern = self.pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+
+        @F.arrow_udf("binary")
+        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            cut = regex.compile(pattern).findall
+            words = Words({token: rank for rank, token in enumerate(tokens.value)}, dictionary)
+            for texts in batches:
+                yield pa.array((b"".join(map(words.__getitem__, cut(t.as_py() or ""))) for t in texts), pa.binary())
+
+        return ids(text)
 
     def decode(self, ids: Column) -> Column:
-        """The bytes of packed ids: the tokens' pieces, joined."""
-        chars = F.filter(F.split(F.decode(ids, WIDE), ""), lambda c, i: i % 2 == 0)
-        pieces = F.transform(chars, lambda c: F.element_at(self.pieces, F.ascii(c) + 1))
-        return F.when(F.length(ids) > 0, F.encode(F.array_join(pieces, ""), LATIN)).otherwise(F.lit(b""))
+        """The bytes of packed ids: the tokens' pieces, joined; none for null."""
+        tokens = self.tokens
+
+        @F.arrow_udf("binary")
+        def pieces(packed: pa.Array) -> pa.Array:
+            piece = tokens.value.__getitem__
+            return pa.array((b"".join(map(piece, memoryview(p.as_py() or b"").cast("I"))) for p in packed), pa.binary())
+
+        return pieces(ids)
 
 
 def codec(spark: SparkSession, path: str, pattern: str) -> Codec:
-    """The codec of a rank file that holds all 256 bytes and fewer tokens than MAX_TOKENS."""
-    tokens = [token.decode(LATIN) for token in read_ranks(path)]
-    if len(tokens) > MAX_TOKENS:
-        raise ValueError(f"{len(tokens)} tokens; ids are characters below {MAX_TOKENS}")
-    table = pa.table({"key": tokens, "value": [chr(i) for i in range(len(tokens))]})
-    bucket = F.pmod(F.xxhash64("key"), F.lit(RANK_BUCKETS)).cast("int")
-    entries = F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "value"))))
-    held = spark.createDataFrame(table).groupBy(bucket.alias("bucket")).agg(entries.alias("entries")).toArrow()
-    maps = ["{}"] * RANK_BUCKETS
-    for at, text in zip(held.column("bucket"), held.column("entries"), strict=True):
-        maps[at.as_py()] = text.as_py()
-    ranks = F.from_json(F.lit(f"[{','.join(maps)}]"), "array<map<string,string>>")
-    return Codec(pattern, ranks, literal_array(tokens, "string"))
-
-
-def frequent_words(docs: DataFrame, codec: Codec, text: str, limit: int) -> DataFrame:
-    """(key, value): the most frequent words of all texts with their ids, ties to the smaller word."""
-    counts = docs.select(F.explode(codec.words(F.col(text))).alias("key")).groupBy("key").count()
-    # After the limit all rows lie in one partition; the merges are spread again.
-    top = counts.orderBy(F.desc("count"), "key").limit(limit).repartition("key")
-    return top.select("key", let(codec.ranks, lambda ranks: codec.word_ids(F.col("key"), ranks)).alias("value"))
+    """The codec of a rank file that holds all 256 bytes."""
+    return Codec(pattern, share(spark, read_ranks(path)))
 
 
 def encode(
@@ -139,21 +126,11 @@ def encode(
 ) -> DataFrame:
     """`docs` with the binary column `out`: the packed token ids of the whole text.
 
-    Words are counted over all texts; the `dictionary` most frequent are merged once
-    and looked up from a literal of that bounded size. The rest are so rare that
-    merging them where they stand costs about as much as merging each once, and
-    needs no shuffle of words. Null and empty texts have no ids; repeated rows are
+    A task merges a distinct word once and remembers up to `dictionary` words at a
+    time; nothing is shuffled. Null and empty texts have no ids; repeated rows are
     encoded alike; other columns pass through, and `out` replaces one of its name.
     """
-    frequent = lookup_table(frequent_words(docs, codec, text, dictionary), DICTIONARY_BUCKETS)
-    words = codec.words(F.col(text))
-
-    def joined(known, ranks):
-        ids = F.transform(words, lambda w: F.coalesce(lookup(known, w), codec.word_ids(w, ranks)))
-        return F.array_join(ids, "")
-
-    ids = let(frequent, lambda known: let(codec.ranks, lambda ranks: joined(known, ranks)))
-    return docs.withColumn(out, F.encode(ids, WIDE))
+    return docs.withColumn(out, codec.encode(F.col(text), dictionary))
 
 
 def digests(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
