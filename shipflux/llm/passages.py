@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipflux.llm.common import share
@@ -24,10 +24,9 @@ WINDOW = 13
 ROWS = 2
 CELL_BITS = 29
 BLOCK_BITS = 20
-# Marks, in place of a second hash, that the first one is a text's: a smaller id has the whole text.
-WHOLE = -1
-# Windows a task sketches, and words it hashes, at a time.
+# Windows a task sketches, flagged windows it compares, and words it hashes, at a time.
 SKETCH_WINDOWS = 4_000_000
+FLAGGED_WINDOWS = 1_000_000
 CHUNK_WORDS = 500_000
 
 
@@ -175,17 +174,53 @@ def repeated_cells(rows: DataFrame, length: int, bits: int) -> list[np.ndarray]:
     return out
 
 
+def ranks_of(ids: list) -> tuple[np.ndarray, list]:
+    """The place of every id among the distinct ones in ascending order, and these."""
+    names = sorted(set(ids))
+    places = {name: i for i, name in enumerate(names)}
+    return np.fromiter((places[i] for i in ids), np.int64, len(ids)), names
+
+
+def decided(ids: list) -> np.ndarray:
+    """Second hashes of rows that need no comparison any more: negative, and spread over the ids."""
+    return np.fromiter((~(zlib.crc32(str(i).encode()) >> 1) for i in ids), np.int32, len(ids))
+
+
 def flagged(sent, length: int, bits: int):
-    """(h1, h2, doc_id): each document's windows that the sketch has seen twice, once a document row.
+    """(h1, h2, doc_id): windows that the sketch has seen twice.
 
-    A text that a smaller id of the same task has had is one row with h2 = WHOLE: all
-    its windows start there as well, so copies cost a row instead of their windows.
+    Of the documents a task holds at a time, the smallest that has a window sends it to
+    be compared with other tasks' documents; the window is a later one in all others,
+    which say so with a negative h2. So a passage of many documents is a row a task, not a row
+    a document. A text that a smaller id of the task has had is one such row with the hash of the text.
     """
 
+    def of(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ids: list, kind: pa.DataType) -> pa.RecordBatch:
+        first, second, owner = (np.concatenate(part) for part in zip(*held, strict=True))
+        ranks, names = ranks_of(ids)
+        rank = ranks[owner]
+        order = np.lexsort((rank, second, first))
+        first, second, rank = first[order], second[order], rank[order]
+        new_window = np.ones(len(first), dtype=bool)
+        new_window[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+        fresh = new_window.copy()
+        fresh[1:] |= rank[1:] != rank[:-1]
+        mark = np.where(new_window, second.astype(np.int32), decided(names)[rank] if names else np.int32(0))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(first[fresh].view(np.int64)),
+                pa.array(mark[fresh], pa.int32()),
+                pa.array(names, kind).take(pa.array(rank[fresh])),
+            ],
+            names=["h1", "h2", "doc_id"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = sent.value.rows
         earlier: dict = {}
+        held, held_ids, count, kind = [], [], 0, None
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for ids, texts in chunks(batch):
                 copies, marks = [], []
                 for i, text in enumerate(texts):
@@ -202,22 +237,18 @@ def flagged(sent, length: int, bits: int):
                 for row in range(ROWS):
                     cell = cells(first, row, bits).astype(np.int64)
                     kept &= (sketch[row][cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-                first, second, owner = first[kept], second[kept], owner[kept]
-                order = np.lexsort((first, owner))
-                first, second, owner = first[order], second[order], owner[order]
-                fresh = np.ones(len(first), dtype=bool)
-                fresh[1:] = (first[1:] != first[:-1]) | (owner[1:] != owner[:-1])
-                kind = batch.schema.field("doc_id").type
-                doc = pa.array(ids, kind).take(pa.array(owner[fresh]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(first[fresh].view(np.int64)), pa.array(second[fresh].astype(np.int32)), doc],
-                    names=["h1", "h2", "doc_id"],
-                )
-                whole = pa.array([WHOLE] * len(copies), pa.int32())
+                held.append((first[kept], second[kept], owner[kept] + len(held_ids)))
+                held_ids += ids
+                count += int(kept.sum())
+                if count >= FLAGGED_WINDOWS:
+                    yield of(held, held_ids, kind)
+                    held, held_ids, count = [], [], 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(marks, pa.int64()), whole, pa.array(copies, kind)],
+                    [pa.array(marks, pa.int64()), pa.array(decided(copies), pa.int32()), pa.array(copies, kind)],
                     names=["h1", "h2", "doc_id"],
                 )
+        if held:
+            yield of(held, held_ids, kind)
 
     return run
 
@@ -276,12 +307,11 @@ def dedup(
     id_type = docs.schema[doc_id].dataType.simpleString()
     sent = share(docs.sparkSession, Sketch(repeated_cells(named, length, bits)))
     found = named.mapInArrow(flagged(sent, length, bits), f"h1 long, h2 int, doc_id {id_type}")
-    single = found.filter(F.col("h2") != WHOLE)
-    # The smallest id of a window is summed up before the shuffle; the join splits hot windows.
-    firsts = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
-    later = single.join(firsts.hint("merge"), ["h1", "h2"]).filter("doc_id > first").select("doc_id", "h1")
-    copies = found.filter(F.col("h2") == WHOLE).select("doc_id", "h1")
-    gone = later.union(copies).groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
+    # One shuffle by window; a task's documents have been compared before, so a window has at most a row for
+    # every stretch of documents that a task holds at a time.
+    first = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
+    later = found.withColumn("first", first).filter("h2 < 0 OR doc_id > first").select("doc_id", "h1")
+    gone = later.groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
     joined = rows.join(gone, "doc_id", "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(
         cut_out(length), f"doc_id {id_type}, kept string, n_words long, n_removed long, kept_sha256 string"
