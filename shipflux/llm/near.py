@@ -23,6 +23,11 @@ from shipflux.session import staged
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, BAND_ROWS = 32, 6
+# Buckets up to this size are compared by pairs, larger ones by blocks of so many members and words.
+SMALL_BUCKET = 8
+BLOCK_MEMBERS, BLOCK_WORDS = 512, 500_000
+# Numbers of a matrix that a comparison of blocks holds at a time.
+CELL_NUMBERS = 8_000_000
 # Texts whose registers are filled together.
 CHUNK_TEXTS = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -90,7 +95,7 @@ def signatures(texts: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndar
 
 
 def signed(bands: int, rows: int, length: int):
-    """doc_id, content (hash of the words; null without words) and band keys."""
+    """doc_id, content (hash of the words; null without words), number of words and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,8 +116,13 @@ def signed(bands: int, rows: int, length: int):
                 number = {c: i for i, c in enumerate(fresh)}
                 listed = [keys[number[c]].view(np.int64) if c else None for c in content]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(content, pa.binary()), pa.array(listed, pa.list_(pa.int64()))],
-                    names=["doc_id", "content", "bands"],
+                    [
+                        part.column("doc_id"),
+                        pa.array(content, pa.binary()),
+                        pa.array([len(w) for w in words], pa.int64()),
+                        pa.array(listed, pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "content", "words", "bands"],
                 )
 
     return run
@@ -161,28 +171,33 @@ def classes(
     id_type = docs.schema[doc_id].dataType.simpleString()
     share(docs.sparkSession, None)
     sketch = staged(
-        texts.mapInArrow(signed(bands, rows, length), f"doc_id {id_type}, content binary, bands array<long>"),
+        texts.mapInArrow(signed(bands, rows, length), f"doc_id {id_type}, content binary, words long, bands array<long>"),
         "signatures",
     )
     named = sketch.filter("doc_id IS NOT NULL AND content IS NOT NULL")
-    first = named.groupBy("content").agg(F.min(F.struct("doc_id", "bands")).alias("m"))
-    reps = staged(first.select("content", F.col("m.doc_id").alias("rep"), F.col("m.bands").alias("bands")), "reps")
-    keyed = reps.select("rep", F.explode("bands").alias("key"))
+    first = named.groupBy("content").agg(F.min(F.struct("doc_id", "words", "bands")).alias("m"))
+    reps = staged(first.select("content", F.col("m.doc_id").alias("rep"), "m.words", "m.bands"), "reps")
+    keyed = reps.select(F.col("rep").alias("id"), "words", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").count().filter("count > 1").select("key")
-    buckets = staged(keyed.join(shared.hint("merge"), "key").withColumnRenamed("rep", "id").distinct(), "buckets")
+    members = keyed.join(shared.hint("merge"), "key").groupBy("key", "id").agg(F.max("words").alias("words"))
+    buckets = staged(members, "buckets")
+    # Only these texts are compared, in every later step.
+    held = staged(texts.join(buckets.select(F.col("id").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "texts")
 
     def links(pairs: DataFrame) -> DataFrame:
         """The pairs whose texts are similar enough."""
         pairs = staged(pairs.select("a", "b").distinct(), "pairs")
-        taking_part = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        held = texts.join(taking_part.hint("merge"), "doc_id", "left_semi")
         sides = pairs.join(held.toDF("a", "left").hint("merge"), "a").join(held.toDF("b", "right").hint("merge"), "b")
         return staged(sides.mapInArrow(verified(length, threshold), f"a {id_type}, b {id_type}"), "links")
 
     everyone = buckets.withColumn("root", F.col("id"))
     found = links(stars(everyone, 0).union(stars(everyone, 1)))
     roots = components(found)
-    rest = links(strays(open_buckets(buckets, roots)))
+    still_open = sized(open_buckets(buckets, roots))
+    rest = links(strays(still_open.filter(F.col("members") <= SMALL_BUCKET)))
+    cells = dealt(still_open.filter(F.col("members") > SMALL_BUCKET)).hint("merge")
+    compared = cells.join(held.toDF("id", "text").hint("merge"), "id").groupBy("key", "x", "y")
+    rest = staged(rest.union(compared.applyInArrow(between_blocks(length, threshold), f"a {id_type}, b {id_type}")), "links")
     if not rest.isEmpty():
         roots = components(found.union(rest))
     # Ids that stand for several contents are one vertex, so the smallest root holds for all of them.
@@ -197,13 +212,24 @@ def classes(
 
 
 def open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, id, root): members of the buckets that still hold ids of different components."""
-    labelled = buckets.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    """(key, id, words, root): members of the buckets that still hold ids of different components."""
+    labelled = buckets.join(roots, "id", "left").select("key", "id", "words", F.coalesce("root", "id").alias("root"))
     labelled = staged(labelled, "members")
     mixed_keys = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     return staged(labelled.join(mixed_keys.select("key").hint("merge"), "key"), "open")
 
 
+def sized(members: DataFrame) -> DataFrame:
+    """`members` with their bucket's number of members and its largest component, each with its sums."""
+    by_root = members.groupBy("key", "root").agg(F.count("*").alias("count"), F.sum("words").alias("words"))
+    sizes = by_root.groupBy("key").agg(
+        F.max(F.struct("count", "words", "root")).alias("largest"),
+        F.sum("count").alias("members"),
+        F.sum("words").alias("all_words"),
+    )
+    return members.join(sizes.hint("merge"), "key")
+
+
 def stars(members: DataFrame, turn: int) -> DataFrame:
     """One member of a bucket, another for every turn, with every other: as many pairs as rows."""
     pivots = members.groupBy("key").agg(
@@ -216,16 +242,109 @@ def stars(members: DataFrame, turn: int) -> DataFrame:
 def strays(members: DataFrame) -> DataFrame:
     """Members outside their bucket's largest component, with all members of other components.
 
-    Members of one component need no further comparison, so this is the whole rest;
-    after the stars, few members of a bucket of copies are outside.
+    Members of one component need no further comparison, so this is the whole rest. It is for
+    small buckets, which have less than SMALL_BUCKET pairs a member.
     """
-    sizes = members.groupBy("key", "root").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "root")).alias("m")).select("key", F.col("m.root").alias("most"))
-    outside = members.join(largest.hint("merge"), "key").filter("root <> most").toDF("key", "one", "one_root", "most")
-    pairs = outside.join(members.hint("merge"), "key").filter("one_root <> root")
+    outside = members.filter("root <> largest.root").select("key", F.col("id").alias("one"), F.col("root").alias("one_root"))
+    pairs = outside.join(members.select("key", "id", "root").hint("merge"), "key").filter("one_root <> root")
     return pairs.select(F.least("one", "id").alias("a"), F.greatest("one", "id").alias("b"))
 
 
+def dealt(members: DataFrame, block: int = BLOCK_MEMBERS, words: int = BLOCK_WORDS) -> DataFrame:
+    """(key, x, y, left, id, root): buckets cut into blocks, a row for every two blocks that meet.
+
+    Members outside the largest component are dealt by hash into the first blocks, the others
+    into the blocks after these. Every outside block x meets every later block y, and itself where
+    it meets the next one, so no pair of different components is left out, and a bucket
+    of n members sends n rows for each block it has outside instead of its pairs. `left` marks x.
+    """
+    largest = F.col("largest")
+
+    def blocks(count, size):
+        """So many blocks of about `block` members and `words` words; one at least."""
+        return F.greatest(F.ceil(count / block), F.ceil(size / words), F.lit(1)).cast("int")
+
+    outside = blocks(F.col("members") - largest["count"], F.col("all_words") - largest["words"])
+    inside = blocks(largest["count"], largest["words"])
+    is_out = F.col("root") != largest["root"]
+    order = F.xxhash64("id", F.lit(BLOCK_MEMBERS))
+    own = F.when(is_out, F.pmod(order, "outside")).otherwise(F.col("outside") + F.pmod(order, "inside")).cast("int")
+    placed = members.select("key", "id", "root", "largest", outside.alias("outside"), inside.alias("inside"))
+    placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("outside") + F.col("inside") - 1)))
+    met = placed.filter((F.col("own") != F.col("other")) & (F.least("own", "other") < F.col("outside")))
+    x, y = F.least("own", "other"), F.greatest("own", "other")
+    return met.select("key", x.alias("x"), y.alias("y"), (F.col("own") == x).alias("left"), "id", "root")
+
+
+def ceilings(texts: list[tuple[np.ndarray, np.ndarray]], left: np.ndarray) -> np.ndarray:
+    """A number that no probability Jaccard of the texts `left` with the other texts exceeds.
+
+    With P and Q the shares that two texts have in their common elements it is
+    1 / (1/P + 1/Q - 1), since p q / (q + p (1 - Q)) is an upper bound of a common
+    element's term, is concave, and grows with the pair (p, q) in proportion. If a text
+    repeats nothing, nor the other, this is their similarity. A text's number with itself means nothing.
+    """
+    owner = np.repeat(np.arange(len(texts)), [len(t[0]) for t in texts])
+    share = np.concatenate([t[1] / max(1, t[1].sum()) for t in texts])
+    _, column, count = np.unique(np.concatenate([t[0] for t in texts]), return_inverse=True, return_counts=True)
+    # Elements of one text are in no common part.
+    kept = count[column] > 1
+    number = np.cumsum(count > 1) - 1
+    owner, share, column = owner[kept], share[kept].astype(np.float32), number[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, share, column = owner[order], share[order], column[order]
+    place = np.full(len(texts), -1)
+    place[left] = np.arange(len(left))
+    mine, theirs = (np.zeros((len(left), len(texts)), dtype=np.float32) for _ in range(2))
+    step = max(1, CELL_NUMBERS // len(texts))
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        part = slice(*np.searchsorted(column, [start, start + step]))
+        shares = np.zeros((len(texts), step), dtype=np.float32)
+        shares[owner[part], column[part] - start] = share[part]
+        held = (shares > 0).astype(np.float32)
+        mine += shares[left] @ held.T
+        theirs += held[left] @ shares.T
+    with np.errstate(divide="ignore"):
+        return 1 / (1 / mine + 1 / theirs - 1)
+
+
+def between_blocks(length: int, threshold: float):
+    """The links that join components of two blocks: exact, and not more than there are components."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids, roots = cell.column("id").to_pylist(), cell.column("root").to_pylist()
+        texts = [shingles(plain_words(t.as_py()), length) for t in cell.column("text")]
+        is_left = np.array(cell.column("left").to_pylist())
+        names = {root: i for i, root in enumerate(dict.fromkeys(roots))}
+        root = np.array([names[r] for r in roots])
+        parent = list(range(len(names)))
+
+        def end(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        found = []
+        left = np.flatnonzero(is_left)
+        if len(left):
+            most = ceilings(texts, left)
+            asked = (most >= threshold - 1e-4) & (root[left][:, None] != root[None, :])
+            if cell.column("y")[0].as_py() != cell.column("x")[0].as_py() + 1:
+                asked &= ~is_left[None, :]
+            one, two = np.nonzero(asked)
+            for at in np.argsort(-most[one, two], kind="stable"):
+                i, j = int(left[one[at]]), int(two[at])
+                a, b = end(root[i]), end(root[j])
+                if a != b and probability_jaccard(texts[i], texts[j]) >= threshold - 1e-12:
+                    parent[a] = b
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        kind = cell.schema.field("id").type
+        return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
+
+    return run
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """`docs` without the documents that have a smaller id in their class; every column stays.
 

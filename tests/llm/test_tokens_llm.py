@@ -213,11 +213,73 @@ def test_near_classes_by_hand(spark):
 
 def test_stars_and_strays_lose_no_link(spark):
     """A bucket whose members are only linked through each other is still compared in full."""
-    members = spark.createDataFrame([(7, i, 1 if i < 5 else i) for i in range(1, 9)], "key long, id long, root long")
-    pairs = {tuple(r) for r in near.strays(members).select("a", "b").collect()}
+    members = spark.createDataFrame(
+        [(7, i, 10, 1 if i < 5 else i) for i in range(1, 9)], "key long, id long, words long, root long"
+    )
+    sized = near.sized(members)
+    assert {r.members for r in sized.collect()} == {8}
+    pairs = {tuple(r) for r in near.strays(sized).select("a", "b").collect()}
     roots = {r.id: r.root for r in members.collect()}
-    assert pairs == {(a, b) for a in roots for b in roots if a < b and roots[a] != roots[b]}
+    every = {(a, b) for a in roots for b in roots if a < b and roots[a] != roots[b]}
+    assert pairs == every
     assert near.stars(members, 0).count() <= 8
+    for block, words in ((1, 10**6), (2, 10**6), (100, 10**6), (100, 25)):
+        cells = {}
+        for r in near.dealt(sized, block, words).collect():
+            cells.setdefault((r.key, r.x, r.y), []).append(r)
+        met = [
+            (min(a.id, b.id), max(a.id, b.id))
+            for (_, x, y), rows in cells.items()
+            for a in rows
+            for b in rows
+            if a.left and a.root != b.root and (not b.left or (y == x + 1 and a.id < b.id))
+        ]
+        assert set(met) == every and len(met) == len(every)
+
+
+def test_ceilings_hold_and_are_the_similarity_of_texts_without_repeats():
+    rng = np.random.default_rng(9)
+    repeating = [" ".join(rng.choice(WORDS[:5], rng.integers(5, 60))) for _ in range(12)]
+    base = [str(i) for i in range(80)]
+    edited = [" ".join(str(1000 + i) if rng.random() < 0.05 else w for i, w in enumerate(base)) for _ in range(12)]
+    for texts, exactly in ((repeating, False), (edited, True)):
+        sets = [near.shingles([w.encode() for w in t.split()], 5) for t in texts]
+        left = np.array([0, 3, 7])
+        most = near.ceilings(sets, left)
+        for i, one in enumerate(left):
+            for j in set(range(len(sets))) - {one}:
+                exact = near.probability_jaccard(sets[one], sets[j])
+                assert most[i, j] >= exact - 1e-4
+                assert not exactly or abs(most[i, j] - exact) < 1e-4
+
+
+def test_large_buckets_equal_brute_force(spark, monkeypatch):
+    """Near copies of one text in families of links, compared by blocks of few members."""
+    monkeypatch.setattr(near, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(near.dealt, "__defaults__", (4, 10**6))
+    rng = np.random.default_rng(3)
+    base = [str(i) for i in range(60)]
+    docs = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.choice(60, rng.integers(0, 4), replace=False):
+            words[at] = f"new{i}x{at}"
+        docs.append((i, " ".join(words * (2 if i % 7 == 0 else 1))))
+    named = {i: shingled(t) for i, t in docs}
+    root = {i: i for i in named}
+
+    def end(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in named:
+        for j in named:
+            if i < j and jaccard(named[i], named[j]) >= 0.8 - 1e-12:
+                root[max(end(i), end(j))] = min(end(i), end(j))
+    rows = near.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {i: end(i) for i in named}
+    assert len(set(map(end, named))) > 2
 
 
 def best_by_hand(rows, queries, k):
