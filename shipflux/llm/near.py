@@ -296,8 +296,9 @@ def ceilings(texts: list[tuple[np.ndarray, np.ndarray]], left: np.ndarray) -> np
     place = np.full(len(texts), -1)
     place[left] = np.arange(len(left))
     mine, theirs = (np.zeros((len(left), len(texts)), dtype=np.float32) for _ in range(2))
-    step = max(1, CELL_NUMBERS // len(texts))
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+    width = int(column[-1]) + 1 if len(column) else 0
+    step = max(1, min(width, CELL_NUMBERS // len(texts)))
+    for start in range(0, width, step):
         part = slice(*np.searchsorted(column, [start, start + step]))
         shares = np.zeros((len(texts), step), dtype=np.float32)
         shares[owner[part], column[part] - start] = share[part]
