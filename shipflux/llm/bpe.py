@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -83,6 +83,12 @@ class Words(dict):
         return ids
 
 
+def joined(packed: pa.Array, tokens: list[bytes]) -> pa.Array:
+    """The tokens' pieces of packed ids, joined; none for null."""
+    piece = tokens.__getitem__
+    return pa.array((b"".join(map(piece, memoryview(p.as_py() or b"").cast("I"))) for p in packed), pa.binary())
+
+
 @dataclass(frozen=True)
 class Codec:
     """One vocabulary: the pattern that cuts texts, and the tokens by rank, sent to all workers once."""
@@ -91,18 +97,30 @@ class Codec:
     tokens: Broadcast
 
     def encode(self, text: Column, dictionary: int) -> Column:
+        return self._ids(text, dictionary, "binary", lambda ids, tokens: ids)
+
+    def round_trip(self, text: Column, dictionary: int) -> Column:
+        """`ids`, the packed ids of a text, and `back`, the bytes they decode to, from one Python worker."""
+
+        def pair(ids: pa.Array, tokens: list[bytes]) -> pa.Array:
+            return pa.StructArray.from_arrays([ids, joined(ids, tokens)], ["ids", "back"])
+
+        return self._ids(text, dictionary, "struct<ids: binary, back: binary>", pair)
+
+    def _ids(self, text: Column, dictionary: int, kind: str, result: Callable[[pa.Array, list[bytes]], pa.Array]) -> Column:
         tokens = self.tokens
         # The tokenizer reads \s as Unicode's White_Space, which `regex` is told by name.
         pattern = self.pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
-        @F.arrow_udf("binary")
-        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        @F.arrow_udf(kind)
+        def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             cut = regex.compile(pattern).findall
             words = Words({token: rank for rank, token in enumerate(tokens.value)}, dictionary)
             for texts in batches:
-                yield pa.array((b"".join(map(words.__getitem__, cut(t.as_py() or ""))) for t in texts), pa.binary())
+                ids = pa.array((b"".join(map(words.__getitem__, cut(t.as_py() or ""))) for t in texts), pa.binary())
+                yield result(ids, tokens.value)
 
-        return ids(text)
+        return encoded(text)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of packed ids: the tokens' pieces, joined; none for null."""
@@ -110,8 +128,7 @@ class Codec:
 
         @F.arrow_udf("binary")
         def pieces(packed: pa.Array) -> pa.Array:
-            piece = tokens.value.__getitem__
-            return pa.array((b"".join(map(piece, memoryview(p.as_py() or b"").cast("I"))) for p in packed), pa.binary())
+            return joined(packed, tokens.value)
 
         return pieces(ids)
 
@@ -135,9 +152,22 @@ def encode(
 
 def digests(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """doc_id, n_tokens and the sha256 of the packed ids and of the decoded bytes."""
-    return encoded.select(
-        F.col(doc_id),
+    return digested(encoded.select(F.col(doc_id), F.col(ids).alias("ids"), codec.decode(F.col(ids)).alias("back")))
+
+
+def round_trip_digests(
+    docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text", dictionary: int = DICTIONARY_WORDS
+) -> DataFrame:
+    """`digests` of the encoded texts; a task encodes and decodes in one Python worker, not in two at a time."""
+    pairs = docs.select(F.col(doc_id), codec.round_trip(F.col(text), dictionary).alias("pair"))
+    return digested(pairs.select(doc_id, "pair.ids", "pair.back"))
+
+
+def digested(rows: DataFrame) -> DataFrame:
+    doc_id, ids, back = rows.columns
+    return rows.select(
+        doc_id,
         (F.length(ids) / 4).cast("long").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2(codec.decode(F.col(ids)), 256).alias("decoded_sha256"),
+        F.sha2(back, 256).alias("decoded_sha256"),
     )

@@ -26,8 +26,8 @@ BANDS, BAND_ROWS = 32, 6
 # Buckets up to this size are compared by pairs, larger ones by blocks of so many members and words.
 SMALL_BUCKET = 8
 BLOCK_MEMBERS, BLOCK_WORDS = 512, 500_000
-# Numbers of a matrix that a comparison of blocks holds at a time.
-CELL_NUMBERS = 8_000_000
+# Numbers of a matrix that a comparison of blocks holds at a time, in a few copies.
+CELL_NUMBERS = 1_000_000
 # Texts whose registers are filled together.
 CHUNK_TEXTS = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)

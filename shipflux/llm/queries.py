@@ -22,7 +22,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     codec = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), codec)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

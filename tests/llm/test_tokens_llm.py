@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from shipflux.llm import bpe, mtree, near, passages, suffixes
-from shipflux.llm.queries import VOCABULARY
+from shipflux.llm.queries import VOCABULARY, op2_bpe
 
 TEXTS = [
     (1, None), (2, ""), (3, "a b  \u3000\n\n x y'll we're 日本語 \U0001f600e\u0301 12½٣ 'tis\r\n\t\x0b\x85z"), (4, "a" * 400),
@@ -38,6 +38,29 @@ def test_bpe_equals_tiktoken(spark, dictionary):
     assert digest[1].n_tokens == 0 and digest[1].ids_sha256 == digest[2].decoded_sha256 == hashlib.sha256().hexdigest()
 
 
+def test_bpe_encodes_and_decodes_in_one_python_worker(spark):
+    codec = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    once = bpe.round_trip_digests(docs, codec)
+    assert sorted(once.collect()) == sorted(bpe.digests(bpe.encode(docs, codec), codec).collect())
+    plan = op2_bpe(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"^[ +:*()0-9-]*ArrowEvalPython", plan, re.M)) == 1
+
+
+def test_a_comparison_of_blocks_takes_bounded_memory():
+    """Two full blocks of dissimilar texts: matrices of a few million numbers, whatever the texts share."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    texts = [(np.unique(rng.integers(0, 200_000, 900).astype(np.uint64)),) for _ in range(2 * near.BLOCK_MEMBERS)]
+    texts = [(t, np.ones(len(t), dtype=np.int64)) for (t,) in texts]
+    tracemalloc.start()
+    near.ceilings(texts, np.arange(near.BLOCK_MEMBERS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
 def test_bpe_of_an_empty_table(spark):
     codec = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), codec).count() == 0
