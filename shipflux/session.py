@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,6 +30,18 @@ def build_session(app: str = "shipflux", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Files up to this size are broadcast unasked. Every broadcast passes through the driver, and rows of a few bytes in a file
+# are ten times as many there; a larger side is only broadcast where its rows are counted first.
+UNASKED_BROADCAST = 2 * 1024 * 1024
+
+
+def lower_broadcast_limit(spark: SparkSession, name: str = "spark.sql.autoBroadcastJoinThreshold") -> None:
+    """Set the limit to UNASKED_BROADCAST, unless it is lower or broadcasts are off."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", spark.conf.get(name).lower()).groups()
+    if int(number) * 1024 ** " kmgtp".index(unit or " ") > UNASKED_BROADCAST:
+        spark.conf.set(name, str(UNASKED_BROADCAST))
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Set what results and speed depend on, in a session someone else has built."""
     # Positions are stamped in UTC, so dates are only right when the session is too.
@@ -45,6 +58,7 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    lower_broadcast_limit(spark)
     return spark
 
 

@@ -11,6 +11,8 @@ from shipflux import config
 from shipflux.functions import keyed
 from shipflux.operators import report
 from shipflux.plans import points
+from shipflux.session import UNASKED_BROADCAST, prepare_session
+from shipflux.streaming import scd
 
 
 @pytest.fixture
@@ -75,3 +77,34 @@ def test_rows_without_a_ship_keep_their_voyage(spark, sf_dir):
 
 def test_scattered_rows_take_as_many_tasks_as_their_size_asks_for(spark, sf_dir):
     assert hashed(io_queries.scattered(q.positions(spark, sf_dir))) != []
+
+
+def test_files_of_some_megabytes_are_not_broadcast_unasked(spark, tmp_path):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        for given, wanted in (("10485760b", UNASKED_BROADCAST), ("10m", UNASKED_BROADCAST), ("256k", "256k"), ("-1", "-1")):
+            spark.conf.set(limit, given)
+            prepare_session(spark)
+            assert spark.conf.get(limit) == str(wanted)
+        spark.conf.set(limit, "10m")
+        prepare_session(spark)
+        names = spark.range(500_000).select("id", F.xxhash64("id").alias("code"))
+        names.write.parquet(str(tmp_path / "names"))
+        joined = spark.range(1_000_000).join(spark.read.parquet(str(tmp_path / "names")), "id")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_versions_are_dealt_by_bucket_once(spark, no_broadcasts):
+    """Steps lie by key and bucket once; the last states of the buckets come from there, not from a shuffle of all states."""
+    rows = spark.range(100).selectExpr("id % 7 AS k", "id AS value", "timestamp_seconds(id * 40000) AS at")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = scd.scd2(rows, ["k"], "at")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    steps = [line for line in plan.split("\n") if "hashpartitioning(k#" in line and "REPARTITION_BY_COL" in line]
+    assert ["ReusedExchange" in line for line in steps] == [False, True]
