@@ -51,7 +51,8 @@ def scd2(
     state = F.struct(*rest)
     step = F.date_trunc("DAY", F.col(sequence)) if bucket is None else bucket
 
-    steps = keep_first(changes, [*keys, sequence], _ties(rest)).withColumn("_bucket", step)
+    # Dealt by bucket once: both readers of the steps find them in one shuffle, and no window moves them again.
+    steps = keep_first(changes, [*keys, sequence], _ties(rest)).withColumn("_bucket", step).repartition(*part)
 
     def with_bucket_fact(rows: DataFrame, facts: DataFrame) -> DataFrame:
         renamed = facts.withColumnsRenamed({key: f"_r_{key}" for key in part})
