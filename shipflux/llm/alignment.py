@@ -89,19 +89,19 @@ class Tokenizers:
 
     @cached_property
     def tables(self) -> dict[str, np.ndarray]:
-        """Byte lengths, and the decimal ids with the sign that follows them inside and at the end of a group."""
+        """Byte lengths, and the decimal ids of A and B with the sign that follows them inside, then at the end of a group."""
 
-        def written(count: int, sign: str) -> np.ndarray:
-            return np.array([f"{i}{sign}" for i in range(count)], dtype=object)
+        def written(count: int, sign: str) -> list[bytes]:
+            return [f"{i}{sign}".encode() for i in range(count)]
 
         a, b = self.a_bytes, self.b_bytes
+        signs = [*written(len(a), ","), *written(len(b), ","), *written(len(a), "|"), *written(len(b), ";")]
         return {
             "a_length": np.array([len(x) for x in a], dtype=np.int64),
             "b_length": np.array([len(x) for x in b], dtype=np.int64),
-            "a_inner": written(len(a), ","),
-            "a_last": written(len(a), "|"),
-            "b_inner": written(len(b), ","),
-            "b_last": written(len(b), ";"),
+            "written": np.array(signs, dtype=object),
+            "b_from": np.int64(len(a)),
+            "last_from": np.int64(len(a) + len(b)),
         }
 
     def encode(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -141,26 +141,28 @@ def aligned(a_ends: np.ndarray, b_ends: np.ndarray) -> Alignment:
     """
     a_index = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1), strict=True))
     b_index = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1), strict=True))
-    shared = sorted(a_index.keys() & b_index.keys())
+    # A dictionary keeps its order, so what both hold comes ascending.
+    shared = list(filter(a_index.__contains__, b_index))
     a_cuts = np.fromiter(map(a_index.__getitem__, shared), dtype=np.int64, count=len(shared))
     b_cuts = np.fromiter(map(b_index.__getitem__, shared), dtype=np.int64, count=len(shared))
     # A group's links begin with its first tokens and step on at every end, on both sides.
-    ends = np.union1d(a_ends, b_ends)
+    ends = np.concatenate([a_ends, b_ends])
+    ends.sort(kind="stable")
+    ends = ends[np.diff(ends, prepend=-1) > 0]
     return Alignment(a_cuts, b_cuts, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends))
 
 
 def written_groups(a: np.ndarray, b: np.ndarray, found: Alignment, tables: dict[str, np.ndarray]) -> bytes:
     """The groups as `a1,a2|b1;a3|b2,b3`."""
-    a_text, b_text = tables["a_inner"][a], tables["b_inner"][b]
-    a_text[found.a_cuts - 1] = tables["a_last"][a[found.a_cuts - 1]]
-    b_text[found.b_cuts - 1] = tables["b_last"][b[found.b_cuts - 1]]
     # A token's place is its number plus the tokens of the other side that stand before its group, or up to its end.
-    a_group = np.repeat(np.arange(len(found.a_cuts)), np.diff(found.a_cuts, prepend=0))
-    b_group = np.repeat(np.arange(len(found.b_cuts)), np.diff(found.b_cuts, prepend=0))
-    out = np.empty(len(a) + len(b), dtype=object)
-    out[np.arange(len(a)) + np.concatenate([[0], found.b_cuts])[a_group]] = a_text
-    out[np.arange(len(b)) + found.a_cuts[b_group]] = b_text
-    return "".join(out.tolist())[:-1].encode()
+    before = np.concatenate([[0], found.b_cuts[:-1]])
+    a_place = np.arange(len(a)) + np.repeat(before, np.diff(found.a_cuts, prepend=0))
+    b_place = np.arange(len(b)) + np.repeat(found.a_cuts, np.diff(found.b_cuts, prepend=0))
+    out = np.empty(len(a) + len(b), dtype=np.int64)
+    out[a_place], out[b_place] = a, b + tables["b_from"]
+    for last in (a_place[found.a_cuts - 1], b_place[found.b_cuts - 1]):
+        out[last] += tables["last_from"]
+    return b"".join(tables["written"][out].tolist())[:-1]
 
 
 LINK_COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"

@@ -213,6 +213,22 @@ def test_alignment_against_all_pairs_of_tokens(spark, sf_dir, tokenizers):
         assert {tuple(r) for r in found.collect()} == plain_alignment(texts)
 
 
+def test_alignment_merges_ends_as_they_come(monkeypatch):
+    """Both lists of ends are ascending, so no set of them is hashed or sorted again; the result is that of sets."""
+    rng = np.random.default_rng(3)
+    sides = [(np.array([4]), np.array([4])), *(([np.append(np.flatnonzero(rng.random(60) < p) + 1, 61) for p in (0.3, 0.6)]) for _ in range(30))]
+    wanted = []
+    for a, b in sides:
+        ends, shared = sorted({*a.tolist(), *b.tolist()}), sorted({*a.tolist()} & {*b.tolist()})
+        linked = [[int(np.sum(x < e)) for e in ends] for x in (a, b)]
+        wanted.append([[int(np.sum(a <= e)) for e in shared], [int(np.sum(b <= e)) for e in shared], *linked])
+    for name in ("union1d", "unique", "intersect1d"):
+        monkeypatch.setattr(np, name, None)
+    for (a, b), expected in zip(sides, wanted, strict=True):
+        found = alignment.aligned(a, b)
+        assert [x.tolist() for x in (found.a_cuts, found.b_cuts, found.a_linked, found.b_linked)] == expected
+
+
 def test_alignment_of_odd_tables(spark, tokenizers):
     schema = "doc_id long, text string"
     assert alignment.align(spark.createDataFrame([], schema), tokenizers).count() == 0
