@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import share
+from shipflux.llm.common import share, slices
 
 # So many distinct words a task remembers; beyond it starts anew, so no word is ever left out.
 DICTIONARY_WORDS = 400_000
@@ -116,7 +116,7 @@ class Codec:
         def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             cut = regex.compile(pattern).findall
             words = Words({token: rank for rank, token in enumerate(tokens.value)}, dictionary)
-            for texts in batches:
+            for texts in (part for batch in batches for part in slices(batch, batch)):
                 ids = pa.array((b"".join(map(words.__getitem__, cut(t.as_py() or ""))) for t in texts), pa.binary())
                 yield result(ids, tokens.value)
 

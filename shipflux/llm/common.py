@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,22 @@ def share(spark: SparkSession, value: Any):
     return spark.sparkContext.broadcast(value)
 
 
+# A worker handles so many bytes of text at a time, or one longer text; Arrow batches are cut by rows only.
+SLICE_BYTES = 4 << 20
+
+
+def slices(rows: pa.RecordBatch | pa.Array, texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Any]:
+    """`rows` in order, in parts whose `texts` have at most `limit` bytes, or of one longer text; nothing of no rows."""
+    begin = held = 0
+    for at, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if held and held + (size or 0) > limit:
+            yield rows.slice(begin, at - begin)
+            begin, held = at, 0
+        held += size or 0
+    if begin < len(texts):
+        yield rows.slice(begin)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` worked out once, inside a row expression."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -8,11 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from shipflux.llm import bpe, mtree, near, passages, suffixes
+from shipflux.llm import bpe, common, mtree, near, passages, suffixes
 from shipflux.llm.queries import VOCABULARY, op2_bpe
 
 TEXTS = [
@@ -47,6 +48,21 @@ def test_bpe_encodes_and_decodes_in_one_python_worker(spark):
     assert len(re.findall(r"^[ +:*()0-9-]*ArrowEvalPython", plan, re.M)) == 1
 
 
+def test_workers_take_texts_in_slices(spark, monkeypatch):
+    """Parts of bounded bytes and longer single texts, in order; a slice of a batch is encoded as the whole is."""
+    texts = pa.array(["ab", None, "", "é" * 9, "a", "b" * 8, None], pa.string())
+    parts = [part.to_pylist() for part in common.slices(texts, texts, 10)]
+    assert parts == [["ab", None, ""], ["é" * 9], ["a", "b" * 8, None]]
+    assert not list(common.slices(texts[:0], texts[:0], 10))
+    assert [len(part) for part in common.slices(texts[1:3], texts[1:3], 10)] == [2]
+
+    handled = []
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda kind: lambda run: lambda text: handled.extend(map(len, run(iter([text])))))
+    codec = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    codec.round_trip(pa.array(["some words " * 10_000] * 200), 1000)
+    assert len(handled) > 4 and sum(handled) == 200
+
+
 def test_a_comparison_of_blocks_takes_bounded_memory():
     """Two full blocks of dissimilar texts: matrices of a few million numbers, whatever the texts share."""
     import tracemalloc
