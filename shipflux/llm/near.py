@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import fresh, share
+from shipflux.llm.common import fresh, share, slices
 from shipflux.llm.components import components
 from shipflux.llm.text import mixed, plain_words, run_hashes, word_hashes
 from shipflux.session import staged
@@ -98,7 +98,7 @@ def signed(bands: int, rows: int, length: int):
     """doc_id, content (hash of the words; null without words), number of words and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.column("text"))):
             for at in range(0, batch.num_rows, CHUNK_TEXTS):
                 part = batch.slice(at, CHUNK_TEXTS)
                 words = [plain_words(t.as_py()) for t in part.column("text")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import labelled_sample, learnable, share
+from shipflux.llm.common import labelled_sample, learnable, share, slices
 from shipflux.llm.tokens import TOKEN, term_counts
 
 # Labelled rows the model is fitted on, chosen by a hash of their id.
@@ -229,7 +229,7 @@ def keep_good(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = sent.value.score
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.column(at))):
             yield batch.filter(pa.array([judge(t.as_py()) >= threshold for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ to all tasks, in blocks of bounded size.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipflux.llm.common import fresh, share
+from shipflux.llm.common import fresh, share, slices
 from shipflux.llm.text import plain_words
 
 WINDOW = 13
@@ -200,7 +200,8 @@ def contamination(
     by their id as text. Other columns are not read.
 
     A benchmark of several blocks takes one pass per block; each pass carries the
-    findings of the ones before, so no row is shuffled.
+    findings of the ones before, so no row is shuffled. The last pass finishes them
+    in the same Python worker, and no pass but those before it hands texts on.
     """
     spark = docs.sparkSession
     id_type = docs.schema[doc_id].dataType.simpleString()
@@ -218,17 +219,17 @@ def contamination(
         F.lit(None).cast("string").alias("longest_item"),
         F.lit(0).cast("long").alias("longest_at"),
     )
-    for probe in blocks(benchmark, item_id, item_text, window, block_words):
-        sent = share(spark, probe)
+    *passes, last = [share(spark, probe) for probe in blocks(benchmark, item_id, item_text, window, block_words)]
+    for sent in passes:
         rows = rows.mapInArrow(searching(sent), carried)
-    return rows.drop("text").mapInArrow(finishing, f"doc_id {id_type}, {FOUND}")
+    return rows.mapInArrow(searching(last, finished), f"doc_id {id_type}, {FOUND}")
 
 
-def searching(sent):
+def searching(sent, then: Callable[[pa.RecordBatch], pa.RecordBatch] = lambda batch: batch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe = sent.value
         number = probe.vocabulary.get
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.column("text"))):
             texts = batch.column("text")
             counts, begins, ends, items, longest = [], [], [], [], []
             shard: list[np.ndarray] = []
@@ -257,7 +258,7 @@ def searching(sent):
                     close()
                     held = 0
             close()
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     texts,
@@ -271,24 +272,24 @@ def searching(sent):
                 ],
                 names=batch.schema.names,
             )
+            yield then(found)
 
     return run
 
 
-def finishing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def finished(batch: pa.RecordBatch) -> pa.RecordBatch:
     names = [c.split()[0] for c in FOUND.split(", ")]
     kinds = [
         pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(),
         pa.int64(), pa.string(), pa.int64(), pa.bool_(),
     ]
-    for batch in batches:
-        columns = [
-            batch.column(c).to_pylist()
-            for c in ("n_words", "begins", "ends", "items", "longest_match", "longest_item", "longest_at")
-        ]
-        rows = [finish(*row[:4], row[4:]) for row in zip(*columns, strict=True)]
-        arrays = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", *names])
+    columns = [
+        batch.column(c).to_pylist()
+        for c in ("n_words", "begins", "ends", "items", "longest_match", "longest_item", "longest_at")
+    ]
+    rows = [finish(*row[:4], row[4:]) for row in zip(*columns, strict=True)]
+    arrays = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", *names])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -63,6 +63,17 @@ def test_workers_take_texts_in_slices(spark, monkeypatch):
     assert len(handled) > 4 and sum(handled) == 200
 
 
+def test_decontamination_takes_one_python_worker(spark):
+    """A task searches the last block of items and finishes in one worker, which gives no texts back."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([("x", "a b"), ("y", "c")], "item_id string, text string")
+    for block, passes in ((suffixes.BLOCK_WORDS, 1), (1, 2)):
+        found = suffixes.contamination(docs, items, block_words=block)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"^[ +:*()0-9-]*MapInArrow", plan, re.M)) == passes
+        assert [(r.n_words, r.items) for r in found.collect()] == [(2, ["x"])]
+
+
 def test_a_comparison_of_blocks_takes_bounded_memory():
     """Two full blocks of dissimilar texts: matrices of a few million numbers, whatever the texts share."""
     import tracemalloc
