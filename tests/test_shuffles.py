@@ -11,7 +11,7 @@ from shipflux import config
 from shipflux.functions import keyed
 from shipflux.operators import report
 from shipflux.plans import points
-from shipflux.session import UNASKED_BROADCAST, prepare_session
+from shipflux.session import SHUFFLED_PARTITION, UNASKED_BROADCAST, prepare_session
 from shipflux.streaming import scd
 
 
@@ -97,6 +97,19 @@ def test_files_of_some_megabytes_are_not_broadcast_unasked(spark, tmp_path):
         spark.conf.set(limit, before)
 
 
+def test_shuffled_partitions_stay_small_enough_for_a_task(spark):
+    """Partitions are joined up to the limit only, which a session may set lower."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        for given, wanted in (("67108864b", SHUFFLED_PARTITION), ("64MB", SHUFFLED_PARTITION), ("8m", "8m")):
+            spark.conf.set(size, given)
+            prepare_session(spark)
+            assert spark.conf.get(size) == str(wanted)
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_versions_are_dealt_by_bucket_once(spark, no_broadcasts):
     """Steps lie by key and bucket once; the last states of the buckets come from there, not from a shuffle of all states."""
     rows = spark.range(100).selectExpr("id % 7 AS k", "id AS value", "timestamp_seconds(id * 40000) AS at")
